@@ -86,12 +86,10 @@ def distinct_value_pairs(df: DataFrame, col: str) -> DataFrame:
     ``n_partners`` = the number of distinct values ``b >= a`` (the pairs starting at ``a``
     are exactly the values of rank >= rank(a)).  Ranks come from the distinct set only.
     """
-    from pyspark.sql.window import Window
+    from .windows import rank_within
     d = df.select(F.col(_q(col)).alias("a")).distinct()
-    w = Window.orderBy("a")  # distinct value set: bounded by the column's cardinality
-    r = d.withColumn("rank", F.row_number().over(w) - 1)
-    n = d.agg(F.count(F.lit(1)).alias("__n"))
-    return r.crossJoin(F.broadcast(n)).select("a", "rank", (F.col("__n") - F.col("rank")).alias("n_partners"))
+    r = rank_within(d, None, ["a"], alias="rank", count_alias="__n")
+    return r.select("a", "rank", (F.col("__n") - F.col("rank")).alias("n_partners"))
 
 
 def match_points(points: DataFrame, volumes: DataFrame, study: str = "study_id",
