@@ -91,12 +91,15 @@ def replicate(df: DataFrame, n_col: str, shift_cols: Mapping[str, Column], step:
 
 
 def to_channel(col, mapping: Mapping[str, int]) -> Column:
-    """Description -> channel number; an unknown description raises."""
+    """Description -> channel number; an unknown description raises.  A map lookup
+    with ``coalesce(..., raise_error)`` (a ``when`` chain ending in ``raise_error`` does
+    not compile in generated code and falls back to interpretation)."""
     c = F.col(_q(col)) if isinstance(col, str) else col
-    expr = None
+    pairs = []
     for k, v in mapping.items():
-        expr = F.when(c == k, F.lit(v)) if expr is None else expr.when(c == k, F.lit(v))
-    return expr.otherwise(F.raise_error(F.concat(F.lit("unknown series type: "), c.cast("string")))).cast("int")
+        pairs += [F.lit(k), F.lit(int(v))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), c),
+                      F.raise_error(F.concat(F.lit("unknown series type: "), c.cast("string"))).cast("int"))
 
 
 def mirror(df: DataFrame, label: str, block: int = 10, flag: str = "mirrored") -> DataFrame:
