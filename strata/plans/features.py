@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import aggregate as A
 from ..operators import columns as C
@@ -175,7 +176,7 @@ _WIDE_SQL = ("SELECT d.doc_id AS case_id, d.lang AS lang_M, d.source AS source_M
              "d.text AS text_M, 'x' AS const_M FROM documents d LEFT JOIN labels l USING (doc_id)")
 
 
-@query("prune_report", "P3 A8", sql=f"""
+_PRUNE_SQL = f"""
 WITH w AS ({_WIDE_SQL}),
 s AS (SELECT
   avg(CAST(lang_M IS NULL AS DOUBLE)) AS n_lang_M, avg(CAST(source_M IS NULL AS DOUBLE)) AS n_source_M,
@@ -196,16 +197,38 @@ FROM (SELECT 'lang_M' AS "column", n_lang_M AS null_share, u_lang_M AS n_unique
   UNION ALL SELECT 'toxic_L', n_toxic_L, NULL FROM s
   UNION ALL SELECT 'initial_M', n_initial_M, u_initial_M FROM s
   UNION ALL SELECT 'text_M', n_text_M, u_text_M FROM s
-  UNION ALL SELECT 'const_M', n_const_M, u_const_M FROM s)""")
+  UNION ALL SELECT 'const_M', n_const_M, u_const_M FROM s)"""
+
+
+@query("prune_report", "P3 A8", sql=_PRUNE_SQL)
 def prune_report_q(spark, sf):
     rep = C.prune_report(wide_docs(spark, sf), keep=("case_id",))
     return rounded(rep.select("column", "null_share", "dropped"))
 
 
+_WIDE_COLS = ("lang_M", "source_M", "chars_A", "quality_P", "toxic_L", "initial_M", "text_M", "const_M")
+
+
+def _long_values(cols, numeric):
+    """SQL: one (case_id, column, value) row per cell of ``cols``; numbers as decimal text."""
+    parts = [f"SELECT case_id, '{c}' AS \"column\", "
+             + (f"CAST(CAST({c} AS DECIMAL(20, 4)) AS VARCHAR)" if c in numeric else c) + " AS value FROM w"
+             for c in cols]
+    return " UNION ALL ".join(parts)
+
+
 @query("pruned", "P3", sql=f"""
-SELECT case_id, lang_M, source_M, chars_A, quality_P, toxic_L, initial_M FROM ({_WIDE_SQL})""")
+WITH w AS ({_WIDE_SQL}), rep AS ({_PRUNE_SQL}),
+lv AS ({_long_values(_WIDE_COLS, ("chars_A", "quality_P", "toxic_L"))})
+SELECT lv.case_id, lv."column", lv.value FROM lv JOIN rep ON rep."column" = lv."column" WHERE NOT rep.dropped""")
 def pruned(spark, sf):
-    return C.prune_columns(wide_docs(spark, sf), keep=("case_id",))
+    """The pruned wide table, in long form (case_id, column, value) so that the oracle can
+    check both the kept columns (decided from the data) and every kept value."""
+    kept = C.prune_columns(wide_docs(spark, sf), keep=("case_id",))
+    cols = [c for c in kept.columns if c != "case_id"]
+    num = {f.name for f in kept.schema.fields if not isinstance(f.dataType, T.StringType)}
+    vals = [(F.col(c).cast("decimal(20,4)").cast("string") if c in num else F.col(c)).alias(c) for c in cols]
+    return kept.select("case_id", *vals).unpivot("case_id", cols, "column", "value")
 
 
 @query("downcast_report", "P5 P6", sql="""
