@@ -1 +1,117 @@
-"""(filled in below)"""
+"""Source / sink round trips.
+
+Each query writes tables derived from the driver tables to a fresh folder under the
+session's shared ``spark.checkpoint.dir`` (a distributed folder on a cluster; the write
+is eager, through Spark's committer, so a lost executor only re-runs its tasks), then
+reads them back through the source under test.  The oracle is the source table itself.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from ..session import ensure_checkpoint_dir
+from ..sources import io
+from .catalog import query, rounded, table
+
+
+def _scratch(spark: SparkSession, what: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/io-{what}-{uuid.uuid4().hex}"
+
+
+# -------------------------------------------------------------- S2 + F24: chunked read
+
+@query("read_chunks", "S2 F24 T1", sql="""
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, l_extendedprice, l_returnflag,
+  1 AS depth FROM lineitem""")
+def read_chunks_q(spark, sf):
+    """lineitem written as 4 chunk files ``lineitem_1_<i>`` by ``l_suppkey % 4``; chunk 0
+    stores ``l_quantity`` as int, the others as double, so the union must widen.  The
+    depth comes from the file name (F24)."""
+    root = _scratch(spark, "chunks")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                                              "l_returnflag", "l_suppkey")
+    for i in range(4):
+        part = li.filter(F.col("l_suppkey") % 4 == i).drop("l_suppkey")
+        if i == 0:
+            part = part.withColumn("l_quantity", F.col("l_quantity").cast("int"))
+        else:
+            part = part.withColumn("l_quantity", F.col("l_quantity").cast("double"))
+        io.write_parquet(part, f"{root}/lineitem_1_{i}.parquet")
+    paths = io.list_files(spark, f"{root}/lineitem_*_*.parquet")
+    depth = io.depth_from_name(paths[0])
+    df = io.read_chunks(spark, paths, typed=False)
+    return df.withColumn("depth", F.lit(depth))
+
+
+# -------------------------------------------------------------- S3 + S5: CSV
+
+@query("csv_round_trip", "S3 S4", sql="SELECT CAST(doc_id AS INTEGER) AS doc_id, lang, source, text FROM documents")
+def csv_round_trip(spark, sf):
+    """documents (multi-line text with quotes and commas) to CSV and back with inferred
+    types."""
+    path = _scratch(spark, "csv")
+    io.write_csv(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"), path)
+    return io.read_csv(spark, path)
+
+
+@query("submission", "S5 S3", sql="""
+SELECT CAST(o_orderkey AS INTEGER) AS case_id, round(o_totalprice, 4) AS score FROM orders""")
+def submission(spark, sf):
+    """Score file with a column subset (``case_id, score``), read back."""
+    path = _scratch(spark, "submission")
+    scores = table(spark, sf, "orders").select(F.col("o_orderkey").alias("case_id"),
+                                               F.col("o_totalprice").alias("score"), "o_orderpriority")
+    io.write_submission(scores, path, ["case_id", "score"])
+    return rounded(io.read_csv(spark, path), 4)
+
+
+# -------------------------------------------------------------- S6: file inventory
+
+@query("file_inventory", "S6 F13", sql="""
+SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS line, l_suppkey % 10 AS bucket, true AS has_files FROM lineitem""")
+def file_inventory_q(spark, sf):
+    """lineitem written partitioned into ``line=<n>/bucket=<k>/`` folders; the inventory
+    lists the files (metadata only) and parses both ids out of each path."""
+    root = _scratch(spark, "inventory")
+    li = table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("line"),
+                                              (F.col("l_suppkey") % 10).alias("bucket"), "l_orderkey")
+    io.write_parquet(li, root, partition_by=["line", "bucket"])
+    inv = io.file_inventory(spark, root, "*.parquet", r"line=(\d+)/bucket=(\d+)/", ["line", "bucket"])
+    return inv.groupBy("line", "bucket").agg((F.count(F.lit(1)) > 0).alias("has_files"))
+
+
+# -------------------------------------------------------------- S7: keyed result cache
+
+@query("cache_round_trip", "S7", sql="""
+SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 4) AS total FROM orders GROUP BY o_custkey""")
+def cache_round_trip(spark, sf):
+    """An aggregate computed once into the cache folder; the second call reads it."""
+    path = _scratch(spark, "cache")
+
+    def build():
+        return (table(spark, sf, "orders").groupBy("o_custkey")
+                .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 4).alias("total")))
+
+    io.cached(spark, build, path)
+    return io.cached(spark, lambda: (_ for _ in ()).throw(RuntimeError("cache miss")), path)
+
+
+# -------------------------------------------------------------- S8: array columns
+
+@query("list_round_trip", "S8 A13", sql="""
+SELECT l_orderkey, list(l_partkey ORDER BY l_partkey) AS partkeys,
+  list(l_extendedprice ORDER BY l_partkey, l_extendedprice) AS prices FROM lineitem GROUP BY l_orderkey""")
+def list_round_trip(spark, sf):
+    """Per order, the sorted part keys and prices as arrays, written and read back."""
+    path = _scratch(spark, "lists")
+    li = table(spark, sf, "lineitem")
+    arr = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_partkey", "l_extendedprice"))).alias("__s"))
+    out = arr.select("l_orderkey", F.col("__s.l_partkey").alias("partkeys"),
+                     F.col("__s.l_extendedprice").alias("prices"))
+    io.write_parquet(out, path)
+    return spark.read.parquet(path)

@@ -53,9 +53,10 @@ def read_chunks(spark: SparkSession, pattern: str | Iterable[str], typed: bool =
 
 
 def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = True) -> DataFrame:
-    """S3: CSV with header and quoted multi-line fields."""
+    """S3: CSV with header and quoted multi-line fields; whitespace inside fields is kept."""
     reader = (spark.read.option("header", True).option("multiLine", True)
-              .option("quote", '"').option("escape", '"'))
+              .option("quote", '"').option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -72,9 +73,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """S4 (CSV form): header, quotes doubled inside quoted fields, whitespace kept (the
+    writer trims by default), empty strings quoted so they read back as empty, not null."""
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+
+
 def write_submission(df: DataFrame, path: str, cols: list[str], mode: str = "overwrite") -> None:
     """CSV result file holding only ``cols`` (with header)."""
-    df.select(*cols).write.mode(mode).option("header", True).csv(path)
+    write_csv(df.select(*cols), path, mode)
 
 
 def file_inventory(spark: SparkSession, root: str, glob: str = "*",
