@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import WORD
+from ..session import ensure_checkpoint_dir
 from .schema import _q
 
 # ---------------------------------------------------------------- F15 column functions
@@ -143,16 +144,30 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(WORD + "+"), 0)
 
 
-def tfidf_weights(corpus: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, tok, tf): token counts per document (one explode, one partial+final aggregate)."""
+    return (df.select(F.col(_q(key)).cast("bigint").alias("id"), F.explode(tokens(text)).alias("tok"))
+            .groupBy("id", "tok").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+
+
+def tfidf_weights(corpus: DataFrame, key: str, text: str, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """M1 fit: (document weights ``id, tok, w`` L2-normalised per document, ``tok, idf``).
 
-    tf = count of the token in the document; idf = ln((1 + N) / (1 + df)) + 1."""
-    tf = (corpus.select(F.col(_q(key)).cast("bigint").alias("id"), F.explode(tokens(text)).alias("tok"))
-          .groupBy("id", "tok").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    tf = count of the token in the document; idf = ln((1 + N) / (1 + df)) + 1.  With
+    ``materialize`` the term counts (tokenising is the costly step, and idf, the norms and
+    the weights all read them) and the final weights are written once to the session's
+    shared checkpoint folder; otherwise the same plan is left lazy."""
+    tf = term_counts(corpus, key, text)
+    if materialize:
+        ensure_checkpoint_dir(corpus.sparkSession)
+        tf = tf.checkpoint(eager=True)
     n_docs = corpus.select(F.count(F.lit(1)).alias("n"))
     idf = (tf.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n_docs))  # one-row table
            .select("tok", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")))
-    return _normalised(tf, idf), idf
+    docs = _normalised(tf, idf)
+    if materialize:
+        docs = docs.checkpoint(eager=True)
+    return docs, idf
 
 
 def _normalised(tf: DataFrame, idf: DataFrame) -> DataFrame:
@@ -163,9 +178,7 @@ def _normalised(tf: DataFrame, idf: DataFrame) -> DataFrame:
 
 def tfidf_query_weights(queries: DataFrame, key: str, text: str, idf: DataFrame) -> DataFrame:
     """M1 transform: query weights over the corpus vocabulary (unknown tokens ignored)."""
-    tf = (queries.select(F.col(_q(key)).cast("bigint").alias("id"), F.explode(tokens(text)).alias("tok"))
-          .groupBy("id", "tok").agg(F.count(F.lit(1)).cast("double").alias("tf")))
-    return _normalised(tf, idf)
+    return _normalised(term_counts(queries, key, text), idf)
 
 
 def _sparse_scores(qpdf: pd.DataFrame, cpdf: pd.DataFrame, k: int, q_chunk: int = 64) -> pd.DataFrame:

@@ -35,7 +35,8 @@ def query(name: str, ids: str = "", sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from ..sources.io import read_table
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

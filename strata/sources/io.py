@@ -16,12 +16,28 @@ from ..operators.schema import TypeRules, apply_type_rules
 
 
 def read_table(spark: SparkSession, path: str, typed: bool = False,
-               rules: TypeRules | None = None) -> DataFrame:
+               rules: TypeRules | None = None, spread: bool = True) -> DataFrame:
     """One parquet table, optionally typed by the naming convention."""
     df = spark.read.parquet(path)
+    if spread:
+        df = spread_scan(df)
     return apply_type_rules(df, rules) if typed else df
 
 
+def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Input-parallelism guard: a scan that yields fewer splits than the cluster has task
+    slots (one big row group, a handful of files) is spread round-robin over
+    ``defaultParallelism`` partitions, so the per-row work before the first shuffle
+    (parsing, tokenising, regexes) does not run in one task.  The split count is file
+    metadata only (no job); a large table already has enough splits and is left as is,
+    so no extra shuffle is added at scale.  Filters and column pruning still reach the
+    scan below the round-robin exchange."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Expand a glob through the Hadoop file system (metadata only, sorted)."""
     jvm = spark.sparkContext._jvm
