@@ -289,7 +289,9 @@ def _by(by) -> list[str]:
 
 def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     if not by:
-        return df.crossJoin(F.broadcast(stats))  # one-row statistic table
+        # one-row statistic table: attached as one struct-valued scalar subquery
+        st = stats.select(F.struct(*[F.col(_q(c)) for c in stats.columns])).scalar()
+        return df.select("*", *[st.getField(c).alias(c) for c in stats.columns])
     return df.join(stats, on=by, how="inner")
 
 

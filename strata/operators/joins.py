@@ -134,7 +134,6 @@ def missing_combos(df: DataFrame, a: str, b: str) -> DataFrame:
     No product is formed: the distinct ``b`` set is one bounded array (a category
     dimension), each ``a`` keeps the set of ``b`` it has (at most that many), and the
     missing ones are ``array_except`` of the two, exploded."""
-    all_b = df.agg(F.array_sort(F.collect_set(_q(b))).alias("__all"))
+    all_b = df.agg(F.array_sort(F.collect_set(_q(b)))).scalar()  # the b dimension, one scalar subquery
     seen = df.groupBy(_q(a)).agg(F.collect_set(_q(b)).alias("__seen"))
-    return (seen.crossJoin(F.broadcast(all_b))  # one-row table
-            .select(_q(a), F.explode(F.array_except("__all", "__seen")).alias(b)))
+    return seen.select(_q(a), F.explode(F.array_except(all_b, F.col("__seen"))).alias(b))

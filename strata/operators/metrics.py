@@ -130,9 +130,9 @@ def gini_stability(df: DataFrame, week: str, label: str, score: str, w_fall: flo
     g = auc_by(df, label, score, [week]).filter(F.col("auc").isNotNull()) \
         .select(_q(week), (2 * F.col("auc") - 1).alias("gini"))
     x = g.withColumn("x", (F.row_number().over(Window.orderBy(_q(week))) - 1).cast("double"))  # one row per week
-    fit = x.agg(F.avg("gini").alias("mean_gini"), F.regr_slope("gini", "x").alias("slope"),
-                F.regr_intercept("gini", "x").alias("intercept"))
-    res = x.crossJoin(F.broadcast(fit)).withColumn(
+    fit = x.select(F.struct(F.avg("gini").alias("mean_gini"), F.regr_slope("gini", "x").alias("slope"),
+                            F.regr_intercept("gini", "x").alias("intercept"))).scalar()  # one-row fit, as a scalar
+    res = x.select("*", *[fit.getField(c).alias(c) for c in ("mean_gini", "slope", "intercept")]).withColumn(
         "res", F.col("gini") - (F.col("slope") * F.col("x") + F.col("intercept")))
     out = res.groupBy("mean_gini", "slope").agg(F.stddev_pop("res").alias("res_std"), F.count(F.lit(1)).alias("n_weeks"))
     score_col = F.col("mean_gini") + F.lit(w_fall) * F.least(F.lit(0.0), F.col("slope")) + F.lit(w_resstd) * F.col("res_std")

@@ -161,9 +161,9 @@ def tfidf_weights(corpus: DataFrame, key: str, text: str, materialize: bool = Tr
     if materialize:
         ensure_checkpoint_dir(corpus.sparkSession)
         tf = tf.checkpoint(eager=True)
-    n_docs = corpus.select(F.count(F.lit(1)).alias("n"))
-    idf = (tf.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n_docs))  # one-row table
-           .select("tok", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")))
+    n_docs = corpus.select(F.count(F.lit(1))).scalar()  # scalar subquery, computed once
+    idf = (tf.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+           .select("tok", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf")))
     docs = _normalised(tf, idf)
     if materialize:
         docs = docs.checkpoint(eager=True)

@@ -88,13 +88,24 @@ def _assign_groups(counts: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.DataFrame({"group": groups, "fold": fold_of})
 
 
-def stratified_group_kfold(df: DataFrame, group: str, y: str, k: int = 5, alias: str = "fold") -> DataFrame:
+# Most groups the sequential greedy assignment takes in one Arrow task.
+MAX_GROUPS_PER_TASK = 200_000
+
+
+def stratified_group_kfold(df: DataFrame, group: str, y: str, k: int = 5, alias: str = "fold",
+                           max_groups_per_task: int = MAX_GROUPS_PER_TASK) -> DataFrame:
     """Whole groups in one fold with class shares balanced (no shuffle).
 
-    Spark reduces the data to one row per (group, class) count; the greedy assignment is
-    sequential by nature and runs in a single Arrow task over that count table only (one
-    row per group, e.g. one per week), then the folds are joined back to the rows."""
+    Spark reduces the data to one row per (group, class) count (map-side combined, so a
+    hot group is one row).  The greedy assignment is sequential by nature; it runs over
+    that count table only, in Arrow tasks of at most ``max_groups_per_task`` groups:
+    with fewer groups (weeks, studies) it is one task and exactly the pinned greedy;
+    with more, groups are hash-split into chunks that are each balanced by the same
+    greedy in parallel (balanced chunks add up to balanced folds).  The folds are then
+    joined back to the rows."""
     counts = df.groupBy(_q(group), _q(y)).agg(F.count(F.lit(1)).alias("n"))
+    n_groups = counts.select(_q(group)).distinct().count()
+    chunks = max(1, -(-n_groups // max(1, max_groups_per_task)))
     gtype = df.schema[group].dataType.simpleString()
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -102,7 +113,8 @@ def stratified_group_kfold(df: DataFrame, group: str, y: str, k: int = 5, alias:
         res = _assign_groups(wide, k)
         return pd.DataFrame({"g": res["group"], alias: res["fold"].astype("int32")})
 
+    chunk = F.lit(0) if chunks == 1 else F.pmod(F.xxhash64(F.col("g")), F.lit(chunks))
     folds = (counts.select(F.col(_q(group)).alias("g"), F.col(_q(y)).cast("string").alias("y"), "n")
-             .groupBy(F.lit(0).alias("__one")).applyInPandas(
+             .groupBy(chunk.alias("__chunk")).applyInPandas(
                  lambda key, pdf: assign(pdf), f"g {gtype}, {alias} int"))
     return df.join(folds.withColumnRenamed("g", group), on=group, how="inner")
