@@ -167,12 +167,12 @@ def wide_docs(spark, sf) -> DataFrame:
     return d.join(lab, "doc_id", "left").select(
         F.col("doc_id").alias("case_id"), F.col("lang").alias("lang_M"), F.col("source").alias("source_M"),
         F.col("n_chars").cast("double").alias("chars_A"), F.col("quality").cast("double").alias("quality_P"),
-        F.col("toxic").alias("toxic_L"), F.substring("text", 1, 1).alias("initial_M"),
+        F.col("toxic").alias("toxic_L"), F.when(F.col("text").contains("\n"), "multi").otherwise("single").alias("lines_M"),
         F.col("text").alias("text_M"), F.lit("x").alias("const_M"))
 
 
 _WIDE_SQL = ("SELECT d.doc_id AS case_id, d.lang AS lang_M, d.source AS source_M, CAST(d.n_chars AS DOUBLE) AS chars_A, "
-             "CAST(l.quality AS DOUBLE) AS quality_P, l.toxic AS toxic_L, substring(d.text, 1, 1) AS initial_M, "
+             "CAST(l.quality AS DOUBLE) AS quality_P, l.toxic AS toxic_L, CASE WHEN strpos(d.text, chr(10)) > 0 THEN 'multi' ELSE 'single' END AS lines_M, "
              "d.text AS text_M, 'x' AS const_M FROM documents d LEFT JOIN labels l USING (doc_id)")
 
 
@@ -181,11 +181,11 @@ WITH w AS ({_WIDE_SQL}),
 s AS (SELECT
   avg(CAST(lang_M IS NULL AS DOUBLE)) AS n_lang_M, avg(CAST(source_M IS NULL AS DOUBLE)) AS n_source_M,
   avg(CAST(chars_A IS NULL AS DOUBLE)) AS n_chars_A, avg(CAST(quality_P IS NULL AS DOUBLE)) AS n_quality_P,
-  avg(CAST(toxic_L IS NULL AS DOUBLE)) AS n_toxic_L, avg(CAST(initial_M IS NULL AS DOUBLE)) AS n_initial_M,
+  avg(CAST(toxic_L IS NULL AS DOUBLE)) AS n_toxic_L, avg(CAST(lines_M IS NULL AS DOUBLE)) AS n_lines_M,
   avg(CAST(text_M IS NULL AS DOUBLE)) AS n_text_M, avg(CAST(const_M IS NULL AS DOUBLE)) AS n_const_M,
   count(DISTINCT lang_M) + max(CAST(lang_M IS NULL AS INT)) AS u_lang_M,
   count(DISTINCT source_M) + max(CAST(source_M IS NULL AS INT)) AS u_source_M,
-  count(DISTINCT initial_M) + max(CAST(initial_M IS NULL AS INT)) AS u_initial_M,
+  count(DISTINCT lines_M) + max(CAST(lines_M IS NULL AS INT)) AS u_lines_M,
   count(DISTINCT text_M) + max(CAST(text_M IS NULL AS INT)) AS u_text_M,
   count(DISTINCT const_M) + max(CAST(const_M IS NULL AS INT)) AS u_const_M FROM w)
 SELECT "column", round(null_share, 6) AS null_share,
@@ -195,7 +195,7 @@ FROM (SELECT 'lang_M' AS "column", n_lang_M AS null_share, u_lang_M AS n_unique
   UNION ALL SELECT 'chars_A', n_chars_A, NULL FROM s
   UNION ALL SELECT 'quality_P', n_quality_P, NULL FROM s
   UNION ALL SELECT 'toxic_L', n_toxic_L, NULL FROM s
-  UNION ALL SELECT 'initial_M', n_initial_M, u_initial_M FROM s
+  UNION ALL SELECT 'lines_M', n_lines_M, u_lines_M FROM s
   UNION ALL SELECT 'text_M', n_text_M, u_text_M FROM s
   UNION ALL SELECT 'const_M', n_const_M, u_const_M FROM s)"""
 
@@ -206,7 +206,7 @@ def prune_report_q(spark, sf):
     return rounded(rep.select("column", "null_share", "dropped"))
 
 
-_WIDE_COLS = ("lang_M", "source_M", "chars_A", "quality_P", "toxic_L", "initial_M", "text_M", "const_M")
+_WIDE_COLS = ("lang_M", "source_M", "chars_A", "quality_P", "toxic_L", "lines_M", "text_M", "const_M")
 
 
 def _long_values(cols, numeric):

@@ -127,11 +127,11 @@ PROMPT = "Here is a question about {topic}({source}).\nQuestion: {question}\nAns
 
 
 @query("prompt", "F8", sql="""
-SELECT doc_id, 'Here is a question about ' || substr(text, 1, 40) || '(' || source || ').' || chr(10) || 'Question: '
+SELECT doc_id, 'Here is a question about ' || source || '(' || lang || ').' || chr(10) || 'Question: '
   || regexp_replace(text, '^\\s+|\\s+$', '', 'g') || chr(10) || 'Answer in ' || lang || '.' AS prompt FROM documents""")
 def prompt(spark, sf):
     d = table(spark, sf, "documents")
-    return d.select("doc_id", X.fill_template(PROMPT, topic=F.substring("text", 1, 40), source=F.col("source"),
+    return d.select("doc_id", X.fill_template(PROMPT, topic=F.col("source"), source=F.col("lang"),
                                               question=X.strip("text"), lang=F.col("lang")).alias("prompt"))
 
 
