@@ -127,6 +127,33 @@ def world_voxel(spark, sf):
     return out.select("series_id", "instance_number", "stack", "inside", "vx", "vy", "vz", "n")
 
 
+@query("match_points", "J8 F18", sql=f"""WITH {_SLICES_SQL},
+pts AS (SELECT study_id, series_id, instance_number, {_WORLD} AS w FROM sl),
+fr AS (SELECT study_id, series_id AS frame_series, stack, position AS origin, orientation AS fo, spacing AS fs, gap AS fg,
+  W, H, depth, nv FROM ord WHERE z = 0),
+j AS (SELECT p.series_id, p.instance_number, f.frame_series, f.stack, f.W, f.H, f.depth,
+  [p.w[1] - f.origin[1], p.w[2] - f.origin[2], p.w[3] - f.origin[3]] AS d, f.fo, f.fs, f.fg, f.nv
+  FROM pts p JOIN fr f ON f.study_id = p.study_id),
+ix AS (SELECT *, CAST(round_even((fo[1] * d[1] + fo[2] * d[2] + fo[3] * d[3]) / fs[1], 0) AS INTEGER) AS x,
+  CAST(round_even((fo[4] * d[1] + fo[5] * d[2] + fo[6] * d[3]) / fs[2], 0) AS INTEGER) AS y,
+  CAST(round_even((nv[1] * d[1] + nv[2] * d[2] + nv[3] * d[3]) / fg, 0) AS INTEGER) AS zz FROM j),
+ins AS (SELECT *, x >= 0 AND x < W AND y >= 0 AND y < H AND zz >= 0 AND zz < depth AS inside FROM ix)
+SELECT i.series_id, i.instance_number, i.frame_series, i.stack, i.inside,
+  CASE WHEN i.inside THEN i.x ELSE 0 END AS vx, CASE WHEN i.inside THEN i.y ELSE 0 END AS vy,
+  CASE WHEN i.inside THEN i.zz ELSE 0 END AS vz, CASE WHEN i.inside THEN o.instance_number ELSE 0 END AS n
+FROM ins i LEFT JOIN ord o ON i.inside AND o.series_id = i.frame_series AND o.stack = i.stack AND o.z = i.zz""")
+def match_points_q(spark, sf):
+    """J8 unconditional form: every label point projected to every volume (stack) of its
+    study, not only those of its own series."""
+    s = slices(spark, sf)
+    ordered = GO.slice_order(s)
+    frames = GO.stack_frames(ordered)
+    pts = s.select("study_id", "series_id", "instance_number",
+                   G.pixel_to_world("px", "py", "orientation", "spacing", "position").alias("world"))
+    out = GO.backproject(pts, frames, ordered, "world", same_series=False)
+    return out.select("series_id", "instance_number", "frame_series", "stack", "inside", "vx", "vy", "vz", "n")
+
+
 @query("slice_corners", "F22", sql=f"""WITH {_SLICES_SQL}
 SELECT series_id, instance_number, list_transform(c, lambda p: list_transform(p, lambda v: round(v, 6))) AS corners FROM
  (SELECT series_id, instance_number, [position,
