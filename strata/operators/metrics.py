@@ -126,15 +126,18 @@ def gini_stability(df: DataFrame, week: str, label: str, score: str, w_fall: flo
                    w_resstd: float = -0.5) -> DataFrame:
     """M8: per week gini = 2 AUC - 1 (weeks where AUC is defined, ascending, x = 0..n-1);
     least-squares line; mean + w_fall * min(0, slope) + w_resstd * std(residuals, over n).
-    The per-week table has one row per week, so the final fit is a tiny aggregate."""
+
+    One aggregate over the per-week table: the residuals of a least-squares line with
+    intercept have mean 0, so their population std is
+    ``sqrt(var_pop(gini) - slope^2 * var_pop(x))`` (clipped at 0 against rounding)."""
     g = auc_by(df, label, score, [week]).filter(F.col("auc").isNotNull()) \
         .select(_q(week), (2 * F.col("auc") - 1).alias("gini"))
     x = g.withColumn("x", (F.row_number().over(Window.orderBy(_q(week))) - 1).cast("double"))  # one row per week
-    fit = x.select(F.struct(F.avg("gini").alias("mean_gini"), F.regr_slope("gini", "x").alias("slope"),
-                            F.regr_intercept("gini", "x").alias("intercept"))).scalar()  # one-row fit, as a scalar
-    res = x.select("*", *[fit.getField(c).alias(c) for c in ("mean_gini", "slope", "intercept")]).withColumn(
-        "res", F.col("gini") - (F.col("slope") * F.col("x") + F.col("intercept")))
-    out = res.groupBy("mean_gini", "slope").agg(F.stddev_pop("res").alias("res_std"), F.count(F.lit(1)).alias("n_weeks"))
+    out = x.agg(F.avg("gini").alias("mean_gini"), F.regr_slope("gini", "x").alias("slope"),
+                F.var_pop("gini").alias("__vy"), F.var_pop("x").alias("__vx"), F.count(F.lit(1)).alias("n_weeks"))
+    slope = F.coalesce(F.col("slope"), F.lit(0.0))
+    res_std = F.sqrt(F.greatest(F.col("__vy") - slope * slope * F.col("__vx"), F.lit(0.0)))
+    out = out.withColumn("res_std", res_std)
     score_col = F.col("mean_gini") + F.lit(w_fall) * F.least(F.lit(0.0), F.col("slope")) + F.lit(w_resstd) * F.col("res_std")
     return out.select(score_col.alias("stability"), "mean_gini", "slope", "res_std", "n_weeks")
 
