@@ -122,6 +122,23 @@ def tournament(spark, sf):
                                                                   lambda x: x.cast("string")), " ").alias("ranked"))
 
 
+@query("promote", "M4 F20", sql=_cos_sql(K_VEC) + """,
+w AS (SELECT q_id, coalesce(min(CASE WHEN c_label = q_label THEN rank END), 1) AS wr FROM top GROUP BY q_id),
+wi AS (SELECT t.q_id, t.c_id AS winner FROM top t JOIN w ON w.q_id = t.q_id AND t.rank = w.wr)
+SELECT t.q_id, wi.winner, string_agg(CAST(t.c_id AS VARCHAR), ' ' ORDER BY CASE WHEN t.c_id = wi.winner THEN 0 ELSE t.rank END)
+  AS ranked FROM top t JOIN wi USING (q_id) GROUP BY t.q_id, wi.winner""")
+def promote(spark, sf):
+    """M4 alone: the best-ranked candidate whose label agrees with the query's (else the
+    first) moves to the front; the others keep their order."""
+    lists = _ranked_lists(spark, sf)
+    agreeing = F.filter("cands", lambda x: x["c_label"] == F.col("q_label"))
+    winner = F.coalesce(F.try_element_at(agreeing, F.lit(1))["id"], F.element_at("cands", 1)["id"])
+    ids = F.transform("cands", lambda x: x["id"])
+    out = lists.select("q_id", winner.alias("winner"), ids.alias("ids"))
+    return out.select("q_id", "winner", F.array_join(F.transform(R.promote("ids", "winner"),
+                                                                  lambda x: x.cast("string")), " ").alias("ranked"))
+
+
 @query("map_at_k", "M5", sql=_cos_sql(K_VEC) + """,
 f AS (SELECT q_id, q_label, c_label, min(rank) AS r FROM top GROUP BY q_id, q_label, c_label),
 ap AS (SELECT q_id, q_label, coalesce(max(CASE WHEN c_label = q_label THEN 1.0 / r END), 0.0) AS ap FROM f GROUP BY q_id, q_label)
