@@ -16,6 +16,7 @@ from ..operators import aggregate as A
 from ..operators import geometry as GO
 from ..operators import reshape as R
 from ..operators import windows as W
+from ..session import ensure_checkpoint_dir
 from .catalog import query, table
 
 AXIAL = "Axial T2"
@@ -56,6 +57,14 @@ def slices(spark, sf):
     ).withColumn("py", F.col("__pe") % 256).drop("__pe")
 
 
+def _materialised_slices(spark, sf):
+    """The slice table feeds the points, the group sizes of two ranks, the stack frames
+    and the slice look-up: written once to the shared checkpoint folder instead of
+    re-running its join and ranking for each of them."""
+    ensure_checkpoint_dir(spark)
+    return slices(spark, sf).checkpoint(eager=True)
+
+
 _SLICES_SQL = """s0 AS (SELECT o.o_custkey AS study_id, l.l_orderkey AS series_id,
   CASE l.l_orderkey % 3 WHEN 0 THEN 'Sagittal T1' WHEN 1 THEN 'Sagittal T2/STIR' ELSE 'Axial T2' END AS series_description,
   CAST(row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
@@ -118,7 +127,7 @@ SELECT i.series_id, i.instance_number, i.stack, i.inside, CASE WHEN i.inside THE
   CASE WHEN i.inside THEN o.instance_number ELSE 0 END AS n
 FROM ins i LEFT JOIN ord o ON i.inside AND o.series_id = i.series_id AND o.stack = i.stack AND o.z = i.zz""")
 def world_voxel(spark, sf):
-    s = slices(spark, sf)
+    s = _materialised_slices(spark, sf)
     ordered = GO.slice_order(s)
     frames = GO.stack_frames(ordered)
     pts = s.select("study_id", "series_id", "instance_number",
@@ -145,7 +154,7 @@ FROM ins i LEFT JOIN ord o ON i.inside AND o.series_id = i.frame_series AND o.st
 def match_points_q(spark, sf):
     """J8 unconditional form: every label point projected to every volume (stack) of its
     study, not only those of its own series."""
-    s = slices(spark, sf)
+    s = _materialised_slices(spark, sf)
     ordered = GO.slice_order(s)
     frames = GO.stack_frames(ordered)
     pts = s.select("study_id", "series_id", "instance_number",
