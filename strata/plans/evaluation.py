@@ -131,7 +131,7 @@ def stratified_group_kfold(spark, sf):
 
 @query("stratified_group_kfold_check", "M13", sql="""
 SELECT count(DISTINCT user_id) AS n_groups, count(*) AS n_rows, count(DISTINCT user_id) AS groups_in_one_fold,
-  count(*) AS rows_with_fold, least(5, count(DISTINCT user_id)) AS n_folds FROM events""")
+  count(*) AS rows_with_fold, CAST(least(5, count(DISTINCT user_id)) AS INTEGER) AS n_folds FROM events""")
 def stratified_group_kfold_check(spark, sf):
     """Invariants of M13 on the whole table: every group in exactly one fold, every row
     covered, and min(k, groups) folds used (class balance is unit-tested)."""
