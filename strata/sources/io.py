@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.schema import TypeRules, apply_type_rules
 
@@ -48,16 +49,25 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def read_chunks(spark: SparkSession, pattern: str | Iterable[str], typed: bool = True,
-                rules: TypeRules | None = None, fmt: str = "parquet",
+                rules: TypeRules | None = None, fmt: str = "parquet", schema: T.StructType | None = None,
                 **options) -> DataFrame:
     """Glob multi-file scan with relaxed vertical union.
 
-    Each chunk is read and typed on its own, then the chunks are stacked by name; the
-    union widens differing numeric types to their common type (``vertical_relaxed``).
+    Parquet: one scan over all files with the *widened* schema (``schema``, or the
+    per-file schemas combined by :func:`widen_types`; footers only, no data).  The reader
+    widens each file's columns (int -> bigint -> double ...) itself, so a thousand chunks
+    are one parallel scan, not a thousand-way union.  The naming-convention types (P1) are
+    applied after the scan; casts are by column name, so this equals typing each chunk
+    before the union.  Other formats: each chunk read on its own, stacked by name (the
+    union coerces to the common type).
     """
     paths = list_files(spark, pattern) if isinstance(pattern, str) else list(pattern)
     if not paths:
         raise FileNotFoundError(f"no file matches {pattern!r}")
+    if fmt == "parquet":
+        target = schema or widened_schema(spark, paths)
+        df = spark.read.schema(target).options(**options).parquet(*paths)
+        return apply_type_rules(df, rules) if typed else df
     parts = []
     for p in paths:
         part = spark.read.format(fmt).options(**options).load(p)
@@ -68,6 +78,49 @@ def read_chunks(spark: SparkSession, pattern: str | Iterable[str], typed: bool =
     return out
 
 
+# Numeric widening order (a column seen with two of these types takes the
+# later one); any other disagreement falls back to string.
+_NUMERIC_ORDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def widen_types(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The common type of one column seen with types ``a`` and ``b`` in two chunks."""
+    if a == b:
+        return a
+    sa, sb = a.simpleString(), b.simpleString()
+    if sa.startswith("decimal"):
+        sa = "double"
+    if sb.startswith("decimal"):
+        sb = "double"
+    if sa in _NUMERIC_ORDER and sb in _NUMERIC_ORDER:
+        wide = max(sa, sb, key=_NUMERIC_ORDER.index)
+        return T._parse_datatype_string(wide)
+    if {sa, sb} <= {"date", "timestamp"}:
+        return T.TimestampType()
+    if {sa, sb} <= {"date", "timestamp_ntz"}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def widened_schema(spark: SparkSession, paths: list[str], threads: int = 16) -> T.StructType:
+    """Union schema of parquet files by name (first-seen column order), each column
+    widened over the files.  Reads footers only, several files at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
+        schemas = list(pool.map(lambda p: spark.read.parquet(p).schema, paths))
+    order: list[str] = []
+    types: dict[str, T.DataType] = {}
+    for sch in schemas:
+        for f in sch.fields:
+            if f.name not in types:
+                order.append(f.name)
+                types[f.name] = f.dataType
+            else:
+                types[f.name] = widen_types(types[f.name], f.dataType)
+    return T.StructType([T.StructField(n, types[n], True) for n in order])
+
+
 def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = True) -> DataFrame:
     """S3: CSV with header and quoted multi-line fields; whitespace inside fields is kept."""
     reader = (spark.read.option("header", True).option("multiLine", True)
