@@ -33,10 +33,12 @@ def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     metadata only (no job); a large table already has enough splits and is left as is,
     so no extra shuffle is added at scale.  Filters and column pruning still reach the
     scan below the round-robin exchange."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
