@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schema import _q
+from .windows import rank_within
 
 # ---------------------------------------------------------------------------
 # Suffix-driven aggregation
@@ -197,30 +198,68 @@ def mean_by(df: DataFrame, t: str, y: str, z: float = 1.96) -> DataFrame:
                     (F.col("mean") + half).alias("upper"))
 
 
+def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float], by: Sequence[str] = (),
+                    prefix: str = "__q") -> DataFrame:
+    """Exact quantiles with linear interpolation (numpy's default) per ``by`` group:
+    ``(by..., <prefix>0, <prefix>1, ...)``.
+
+    Spark's exact ``percentile`` merges a count map of every distinct value into one
+    buffer per group (one task for a global or hot group).  Here the non-null values are
+    ranked with the skew-safe :func:`rank_within`; only the rows at ``floor`` / ``ceil`` of
+    ``p * (n - 1)`` are kept (at most two per probability and group) and interpolated."""
+    by = list(by)
+    v = (F.col(_q(value)) if isinstance(value, str) else value).cast("double")
+    x = df.select(*[F.col(_q(b)) for b in by], v.alias("__v")).filter(F.col("__v").isNotNull())
+    r = rank_within(x, by or None, ["__v"], alias="__r", count_alias="__n")
+    pos = [(F.lit(float(p)) * (F.col("__n") - 1)) for p in probs]
+    lo = [F.floor(q) for q in pos]
+    hi = [F.ceil(q) for q in pos]
+    keep = None
+    for a, b in zip(lo, hi):
+        cond = (F.col("__r") == a) | (F.col("__r") == b)
+        keep = cond if keep is None else keep | cond
+    picked = r.filter(keep)
+    aggs = []
+    for i, (q, a, b) in enumerate(zip(pos, lo, hi)):
+        aggs += [F.max(F.when(F.col("__r") == a, F.col("__v"))).alias(f"__lo{i}"),
+                 F.max(F.when(F.col("__r") == b, F.col("__v"))).alias(f"__hi{i}"),
+                 F.max(q - a).alias(f"__f{i}")]
+    g = picked.groupBy(*[_q(b) for b in by]).agg(*aggs)
+    return g.select(*[_q(b) for b in by], *[
+        (F.col(f"__lo{i}") + F.col(f"__f{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"{prefix}{i}")
+        for i in range(len(probs))])
+
+
 def profile(df: DataFrame, cols: Iterable[str] | None = None, approx: bool = False) -> DataFrame:
     """Describe + info in long form: one row per column with type, non-null count,
-    mean, sample std, min, quartiles (linear interpolation) and max.  One aggregate job.
+    mean, sample std, min, quartiles (linear interpolation) and max.
 
-    The exact ``percentile`` keeps a count per distinct value, so its state grows with the
-    number of distinct values; ``approx=True`` uses the bounded ``percentile_approx``.
+    Counts, moments and extremes are one aggregate.  Quartiles are exact by ranking
+    (:func:`exact_quantiles`, no per-value state in one task), each column's attached as a
+    scalar subquery; ``approx=True`` uses the bounded ``percentile_approx`` in the same
+    aggregate instead.
     """
     fields = [f for f in df.schema.fields if (cols is None or f.name in set(cols))]
-    aggs, rows = [], []
+    aggs, rows, quart = [], [], {}
     for i, f in enumerate(fields):
         c = F.col(_q(f.name))
         numeric = isinstance(f.dataType, T.NumericType) and not isinstance(f.dataType, T.DecimalType)
         aggs.append(F.count(c).alias(f"n{i}"))
         if numeric:
             d = c.cast("double")
-            q = (F.percentile_approx(d, [0.25, 0.5, 0.75], 10000) if approx
-                 else F.percentile(d, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))))
             aggs += [F.avg(d).alias(f"m{i}"), F.stddev_samp(d).alias(f"s{i}"), F.min(d).alias(f"lo{i}"),
-                     F.max(d).alias(f"hi{i}"), q.alias(f"q{i}")]
+                     F.max(d).alias(f"hi{i}")]
+            if approx:
+                aggs.append(F.percentile_approx(d, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
+                quart[i] = F.col(f"q{i}")
+            else:
+                qs = exact_quantiles(df, f.name, [0.25, 0.5, 0.75])
+                quart[i] = qs.select(F.array("__q0", "__q1", "__q2")).scalar()
             rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
                                  F.col(f"n{i}").alias("non_null"), F.col(f"m{i}").alias("mean"),
                                  F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                                 F.col(f"q{i}")[0].alias("p25"), F.col(f"q{i}")[1].alias("p50"),
-                                 F.col(f"q{i}")[2].alias("p75"), F.col(f"hi{i}").alias("max")))
+                                 quart[i][0].alias("p25"), quart[i][1].alias("p50"),
+                                 quart[i][2].alias("p75"), F.col(f"hi{i}").alias("max")))
         else:
             nul = F.lit(None).cast("double")
             rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
@@ -299,13 +338,17 @@ def clip_scale(df: DataFrame, value: str, by=None, lower: float = 0.1, upper: fl
                alias: str = "scaled", approx: bool = False) -> DataFrame:
     """Clip to the ``lower``/``upper`` percentiles (linear interpolation), shift so
     the minimum is 0, divide by the maximum, x255, truncate to 0..255.  A constant group
-    gives 0.  The per-group percentiles are one aggregate joined back on the group."""
+    gives 0.  The per-group percentiles (exact: :func:`exact_quantiles`; or bounded
+    ``percentile_approx``) are joined back on the group."""
     by = _by(by)
     v = F.col(_q(value)).cast("double")
-    q = (F.percentile_approx(v, [lower / 100, upper / 100], 100000) if approx
-         else F.percentile(v, F.array(F.lit(lower / 100), F.lit(upper / 100))))
-    stats = (df.groupBy(*[_q(b) for b in by]).agg(q.alias("__q"))
-             .select(*[_q(b) for b in by], F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi")))
+    if approx:
+        q = F.percentile_approx(v, [lower / 100, upper / 100], 100000)
+        stats = (df.groupBy(*[_q(b) for b in by]).agg(q.alias("__q"))
+                 .select(*[_q(b) for b in by], F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi")))
+    else:
+        stats = exact_quantiles(df, value, [lower / 100, upper / 100], by, prefix="__p").select(
+            *[_q(b) for b in by], F.col("__p0").alias("__lo"), F.col("__p1").alias("__hi"))
     j = _attach(df, stats, by)
     clipped = F.least(F.greatest(v, F.col("__lo")), F.col("__hi"))
     span = F.col("__hi") - F.col("__lo")
