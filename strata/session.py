@@ -41,13 +41,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is made.
+    as is.  Only a ``local`` session that names none gets a scratch folder; on any other master that is an error,
+    because executors do not see each other's folders.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         current = current.get() if current.isDefined() else None
     if not current:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="strata-ckpt-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, current)
     spark.sparkContext.setCheckpointDir(current)
