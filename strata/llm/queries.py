@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, quality, sharding, tokens, topk, toxicity
+from . import chat, dartminhash, decontaminate, quality, sharding, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -132,3 +132,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
                        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
                        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+@query("op6_dart_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
