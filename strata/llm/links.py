@@ -54,8 +54,8 @@ def may_hold(bitmap: np.ndarray, log2_bits: int, hashes: np.ndarray) -> np.ndarr
     return (bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def filtered(df: DataFrame, hash_col: str, bitmap) -> DataFrame:
-    """Rows of ``df`` whose ``hash_col`` (an xxhash64) may be among the bitmap's keys."""
+def filtered(df: DataFrame, hash_col: str, bitmap, invert: bool = False) -> DataFrame:
+    """Rows of ``df`` whose ``hash_col`` (an xxhash64) may be among the bitmap's keys, or with ``invert`` all others."""
     held, log2_bits = bitmap
 
     def run(batches):
@@ -63,6 +63,7 @@ def filtered(df: DataFrame, hash_col: str, bitmap) -> DataFrame:
 
         for batch in batches:
             at = batch.schema.get_field_index(hash_col)
-            yield batch.filter(pa.array(may_hold(held.value, log2_bits, batch.column(at).to_numpy())))
+            ok = may_hold(held.value, log2_bits, batch.column(at).to_numpy())
+            yield batch.filter(pa.array(~ok if invert else ok))
 
     return df.mapInArrow(run, df.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, dartminhash, decontaminate, quality, sharding, tokens, topk, toxicity
+from . import chat, dartminhash, decontaminate, quality, sharding, suffix_dedup, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -137,3 +137,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_dart_minhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
