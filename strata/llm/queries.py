@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, dartminhash, decontaminate, quality, sharding, suffix_dedup, tokens, topk, toxicity
+from . import chat, dartminhash, decontaminate, quality, segment, sharding, suffix_dedup, tokens, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -143,3 +143,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op1_gumbel_segmentation")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                                        k=2)

@@ -446,7 +446,7 @@ def _apply(docs: DataFrame, spans_of: DataFrame, extra: list, with_text: bool) -
     cols = ["doc_id", "th", *extra]
     schema = docs.select(*cols, F.lit(0).cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"),
                          F.lit(0).cast("bigint").alias("n_spans"), F.lit("").alias("kept_sha256"),
-                         *([F.lit("").cast("binary").alias("kept")] if with_text else [])).schema
+                         *([F.lit("").alias("kept")] if with_text else [])).schema
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -482,11 +482,11 @@ def _apply(docs: DataFrame, spans_of: DataFrame, extra: list, with_text: bool) -
             out["n_spans"].append(n_spans)
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
             if with_text:
-                kept_all.append(kept)
+                kept_all.append(kept.decode("utf-8", "ignore"))
         arrays = [right.column(c) for c in cols] + [pa.array(out[k], pa.string() if k == "kept_sha256" else pa.int64())
                                                     for k in names]
         if with_text:
-            arrays.append(pa.array(kept_all, pa.binary()))
+            arrays.append(pa.array(kept_all, pa.string()))
         return pa.table(arrays, names=cols + names + (["kept"] if with_text else []))
 
     left = spans_of.select(F.col("db").alias("sdb"), "docs", "data")
@@ -496,7 +496,7 @@ def _apply(docs: DataFrame, spans_of: DataFrame, extra: list, with_text: bool) -
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, gram: int = GRAM,
                    keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans`` (maximal removed runs), ``kept_sha256``, the ``keep``
-    columns, and with ``with_text`` the kept bytes in ``kept``.
+    columns, and with ``with_text`` the kept text in ``kept`` (a character that lost a byte goes as a whole).
 
     Null texts are empty; texts below ``size`` bytes have no string to remove.  Documents are ordered by (doc_id, text
     hash), null ids first.  Rows with equal id and text count as the same document (each is returned with the same
@@ -529,7 +529,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     zero = F.lit(0).cast("bigint")
     rest = untouched.select("doc_id", "th", *extra, n.alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
                             F.sha2(F.col("t").cast("binary"), 256).alias("kept_sha256"),
-                            *([F.col("t").cast("binary").alias("kept")] if with_text else []))
+                            *([F.col("t").alias("kept")] if with_text else []))
     out = _apply(touched, spans_of, extra, with_text).unionByName(rest)
     for i, c in enumerate(keep):
         out = out.withColumnRenamed(f"k{i}", c) if c != "th" else out.drop("th").withColumnRenamed(f"k{i}", c)
