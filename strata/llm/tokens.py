@@ -145,7 +145,7 @@ class WordEncoder:
     which that does not hold (runs of white space, special tokens) go to the library whole.  The cache keeps two
     generations of ``limit`` words; its size changes nothing in the ids."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 700_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
