@@ -36,9 +36,14 @@ def extract(col, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(_c(col), pattern, group), F.lit(""))
 
 
+# The characters Python's str.strip() removes.
+_SPACES = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACE_ENDS = rf"\A{_SPACES}+|{_SPACES}+\z"
+
+
 def strip(col) -> Column:
-    """Python ``str.strip()``: leading / trailing whitespace removed."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: leading / trailing white space removed, Unicode spaces included."""
+    return F.regexp_replace(_c(col), SPACE_ENDS, "")
 
 
 def _rules(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -76,17 +81,18 @@ def clean_second(col) -> Column:
 def tag_spans(col, tag: str = "response", sep: str = ",") -> Column:
     """every ``<tag>...</tag>`` span (``.`` stops at a newline), joined by ``sep``,
     stripped."""
-    return strip(F.array_join(F.regexp_extract_all(_c(col), F.lit(f"<{tag}>(.*?)</{tag}>"), 1), sep))
+    return strip(F.array_join(F.regexp_extract_all(_c(col), F.lit(f"<{tag}>([^\n]*?)</{tag}>"), 1), sep))
 
 
 def split_chain(col, after: str, before: str, last_after: str) -> Column:
     """the text between the first and second ``after`` marker, cut before
     ``before``, newlines stripped at both ends, then the part after the last
-    ``last_after``, stripped.  All markers are literal (``substring_index``)."""
+    ``last_after``, stripped.  All markers are literal (``substring_index``); without an
+    ``after`` marker there is no such text: null."""
     x = F.substring_index(F.substring_index(_c(col), after, 2), after, -1)
     x = F.substring_index(x, before, 1)
     x = F.regexp_replace(x, r"^\n+|\n+$", "")
-    return strip(F.substring_index(x, last_after, -1))
+    return F.when(F.contains(_c(col), F.lit(after)), strip(F.substring_index(x, last_after, -1)))
 
 
 def fill_template(template: str, **slots) -> Column:

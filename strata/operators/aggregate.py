@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import _q
-from .windows import rank_within
+from .schema import _q, join_null_safe
+from .windows import running_sum_within
 
 # ---------------------------------------------------------------------------
 # Suffix-driven aggregation
@@ -204,27 +204,25 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     ``(by..., <prefix>0, <prefix>1, ...)``.
 
     Spark's exact ``percentile`` merges a count map of every distinct value into one
-    buffer per group (one task for a global or hot group).  Here the non-null values are
-    ranked with the skew-safe :func:`rank_within`; only the rows at ``floor`` / ``ceil`` of
-    ``p * (n - 1)`` are kept (at most two per probability and group) and interpolated."""
+    buffer per group (one task for a global or hot group).  Here rows are first counted per
+    (group, value), map-side combined, so a value held by a third of the rows is one row;
+    running sums of the counts (:func:`running_sum_within`) give the ranks each value covers,
+    and the values at ``floor`` / ``ceil`` of ``p * (n - 1)`` are interpolated."""
     by = list(by)
     v = (F.col(_q(value)) if isinstance(value, str) else value).cast("double")
     x = df.select(*[F.col(_q(b)) for b in by], v.alias("__v")).filter(F.col("__v").isNotNull())
-    r = rank_within(x, by or None, ["__v"], alias="__r", count_alias="__n")
-    pos = [(F.lit(float(p)) * (F.col("__n") - 1)) for p in probs]
-    lo = [F.floor(q) for q in pos]
-    hi = [F.ceil(q) for q in pos]
-    keep = None
-    for a, b in zip(lo, hi):
-        cond = (F.col("__r") == a) | (F.col("__r") == b)
-        keep = cond if keep is None else keep | cond
-    picked = r.filter(keep)
+    counts = x.groupBy(*[_q(b) for b in by], "__v").agg(F.count(F.lit(1)).alias("__c"))
+    r = running_sum_within(counts, by, "__v", "__c", "__below")
+    total = r.groupBy(*[_q(b) for b in by]).agg(F.sum("__c").alias("__n"))
+    r = _attach(r, total, by)
     aggs = []
-    for i, (q, a, b) in enumerate(zip(pos, lo, hi)):
-        aggs += [F.max(F.when(F.col("__r") == a, F.col("__v"))).alias(f"__lo{i}"),
-                 F.max(F.when(F.col("__r") == b, F.col("__v"))).alias(f"__hi{i}"),
-                 F.max(q - a).alias(f"__f{i}")]
-    g = picked.groupBy(*[_q(b) for b in by]).agg(*aggs)
+    for i, p in enumerate(probs):
+        q = F.lit(float(p)) * (F.col("__n") - 1)
+        for name, at in (("lo", F.floor(q)), ("hi", F.ceil(q))):
+            held = (F.col("__below") <= at) & (at < F.col("__below") + F.col("__c"))
+            aggs.append(F.max(F.when(held, F.col("__v"))).alias(f"__{name}{i}"))
+        aggs.append(F.max(q - F.floor(q)).alias(f"__f{i}"))
+    g = r.groupBy(*[_q(b) for b in by]).agg(*aggs)
     return g.select(*[_q(b) for b in by], *[
         (F.col(f"__lo{i}") + F.col(f"__f{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"{prefix}{i}")
         for i in range(len(probs))])
@@ -331,7 +329,7 @@ def _attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
         # one-row statistic table: attached as one struct-valued scalar subquery
         st = stats.select(F.struct(*[F.col(_q(c)) for c in stats.columns])).scalar()
         return df.select("*", *[st.getField(c).alias(c) for c in stats.columns])
-    return df.join(stats, on=by, how="inner")
+    return join_null_safe(df, stats, by)
 
 
 def clip_scale(df: DataFrame, value: str, by=None, lower: float = 0.1, upper: float = 99.9,
@@ -378,7 +376,7 @@ def voxelize(points: DataFrame, key: str, n: int, xyz=("x", "y", "z"), channel:
     """
     x, y, z = xyz
     box = points.groupBy(_q(key)).agg(*[f(_q(c)).alias(f"__{f.__name__}_{c}") for c in xyz for f in (F.min, F.max)])
-    j = points.join(box, on=key, how="inner")
+    j = join_null_safe(points, box, [key])
 
     def idx(c: str) -> Column:
         lo, hi = F.col(f"__min_{c}"), F.col(f"__max_{c}")
@@ -423,4 +421,4 @@ def split_stacks(df: DataFrame, series: str | Sequence[str], orientation: str, a
     d = df.select(*[_q(s) for s in series], _q(orientation)).distinct()
     w = Window.partitionBy(*[_q(s) for s in series]).orderBy(_q(orientation))
     ranked = d.withColumn(alias, F.dense_rank().over(w) - 1)
-    return df.join(ranked, on=series + [orientation], how="inner")
+    return join_null_safe(df, ranked, series + [orientation])

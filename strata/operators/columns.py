@@ -48,53 +48,31 @@ def dates_to_offsets(df: DataFrame, ref_col: str = "date_decision", cols: Iterab
 
 
 def prune_report(df: DataFrame, keep: Iterable[str] = ("target", "case_id", "WEEK_NUM"),
-                 max_null: float = 0.95, max_card: int = 200, near: float = 0.25) -> DataFrame:
+                 max_null: float = 0.95, max_card: int = 200) -> DataFrame:
     """P3 report: ``(column, null_share, n_unique, dropped)`` for every candidate column.
 
-    Job 1 (one aggregate over all columns): null share of every column, and per string
-    column its min, max and an HLL estimate of the distinct count.  "Exactly one value"
-    (null counted as a value) is decided exactly from job 1: all null, or min = max with
-    no null.  Job 2 runs only for string columns whose estimate lies near ``max_card``:
-    an exact distinct count for just those.  ``n_unique`` is exact where it decides the
-    outcome, -1 where the estimate is far from the edge.  Columns with more than
-    ``max_null`` nulls are dropped first and never counted.
-    """
+    One aggregate gives the null shares.  The distinct values of the surviving string columns
+    (null counted as a value) are counted exactly in one job for all of them: rows of
+    (column, digest of the value), made distinct map-side first, so neither long values nor a
+    column's value set travel.  ``n_unique`` is null for columns that are not strings or that
+    their null share already drops."""
     keep = set(keep)
     cand = [f for f in df.schema.fields if f.name not in keep]
-    strings = [f.name for f in cand if isinstance(f.dataType, T.StringType)]
-    aggs = [F.avg(F.col(_q(f.name)).isNull().cast("double")).alias(f"n{i}") for i, f in enumerate(cand)]
-    for i, c in enumerate(strings):
-        aggs += [F.approx_count_distinct(_q(c), 0.01).alias(f"a{i}"), F.min(_q(c)).alias(f"lo{i}"),
-                 F.max(_q(c)).alias(f"hi{i}")]
-    stats = df.agg(*aggs).collect()[0]  # one row
-    null_share = {f.name: stats[f"n{i}"] for i, f in enumerate(cand)}
-    estimate = {c: stats[f"a{i}"] for i, c in enumerate(strings)}
-    single = {c: (null_share[c] == 1.0) or (null_share[c] == 0.0 and stats[f"lo{i}"] == stats[f"hi{i}"])
-              for i, c in enumerate(strings)}
-    survivors = [c for c in strings if (null_share[c] or 0.0) <= max_null]
-    lo, hi = max_card * (1 - near), max_card * (1 + near)
-    exact_needed = [c for c in survivors if not single[c] and lo <= estimate[c] <= hi]
-    exact = {}
-    if exact_needed:
-        row = df.agg(*[(F.count_distinct(_q(c)) + F.max(F.col(_q(c)).isNull().cast("int"))).alias(f"e{i}")
-                       for i, c in enumerate(exact_needed)]).collect()[0]
-        exact = {c: row[f"e{i}"] for i, c in enumerate(exact_needed)}
+    stats = df.agg(*[F.avg(F.col(_q(f.name)).isNull().cast("double")).alias(f"n{i}")
+                     for i, f in enumerate(cand)]).first() if cand else None  # one row
+    share = {f.name: 1.0 if stats[f"n{i}"] is None else float(stats[f"n{i}"]) for i, f in enumerate(cand)}
+    strings = [f.name for f in cand if isinstance(f.dataType, T.StringType) and share[f.name] <= max_null]
+    n_unique: dict[str, int] = {}
+    if strings:
+        cells = F.array(*[F.struct(F.lit(i).alias("i"), F.md5(F.col(_q(c)).cast("binary")).alias("v"))
+                          for i, c in enumerate(strings)])
+        found = df.select(F.explode(cells).alias("c")).select("c.i", "c.v").distinct().groupBy("i").count().collect()
+        n_unique = {strings[r["i"]]: r["count"] for r in found}  # one row per column
     rows = []
     for f in cand:
-        share = float(null_share[f.name]) if null_share[f.name] is not None else 1.0
-        n_unique = None
-        dropped = share > max_null
-        if not dropped and f.name in estimate:
-            if single[f.name]:
-                n_unique, dropped = 1, True
-            elif f.name in exact:
-                n_unique = exact[f.name]
-                dropped = n_unique > max_card
-            else:
-                # estimate far from the edge: the decision is certain
-                n_unique = -1
-                dropped = estimate[f.name] > hi
-        rows.append((f.name, share, n_unique, bool(dropped)))
+        n = n_unique.get(f.name)
+        dropped = share[f.name] > max_null or (n is not None and (n == 1 or n > max_card))
+        rows.append((f.name, share[f.name], n, dropped))
     return df.sparkSession.createDataFrame(
         rows, "column string, null_share double, n_unique bigint, dropped boolean")
 

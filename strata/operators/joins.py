@@ -1,9 +1,8 @@
 """Join operators.  Ids: J1-J10.
 
 Join strategy is left to Catalyst + AQE (sort-merge by default, broadcast when the
-runtime size of a side is below ``spark.sql.autoBroadcastJoinThreshold``).  A side is
-broadcast explicitly only when its size is bounded by construction (a dictionary, a
-one-row table) and even then behind :func:`broadcast_if_small`.
+runtime size of a side is below ``spark.sql.autoBroadcastJoinThreshold``).  No side is
+broadcast by hint here.
 """
 
 from __future__ import annotations
@@ -15,30 +14,6 @@ from pyspark.sql import functions as F
 
 from .schema import _q
 
-# Default row bound under which a side is hinted for broadcast.
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the side is proven small.
-
-    The optimizer's size estimate (``sizeInBytes`` from file sizes / statistics) is
-    checked first; no job is run.  When the estimate is unknown or above the threshold
-    the plain DataFrame is returned and AQE decides at runtime from real sizes.
-    """
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        size = int(stats.sizeInBytes().toString())
-        rows = stats.rowCount()
-        limit = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").rstrip("b") or 0)
-        n_rows = int(rows.get().toString()) if rows.isDefined() else None
-        if 0 < size <= max(limit, 1) and (n_rows is None or n_rows <= max_rows):
-            return F.broadcast(df)
-    except Exception:
-        pass
-    return df
-
-
 def left_join_suffixed(left: DataFrame, right: DataFrame, on: str | Sequence[str], suffix: str) -> DataFrame:
     """Left join keeping all left rows; right-side names that collide with a left
     name get ``suffix`` (like a ``_{i}`` join suffix)."""
@@ -107,9 +82,10 @@ def lookup_or(df: DataFrame, table: DataFrame, keys: Sequence[str], value: str,
 
     ``value`` of the row of ``table`` matching ``keys``; when absent, the row matching
     ``fallback_keys`` (same keys with some replaced by constants, e.g. serial 1); then
-    ``default``.  Both look-ups are left joins (the dictionary is small, so AQE
-    broadcasts it)."""
+    ``default``.  Both look-ups are left joins.  A key that the dictionary holds several
+    times takes its smallest value, so rows are never multiplied."""
     alias = alias or value
+    table = table.groupBy(*[_q(k) for k in keys]).agg(F.min(_q(value)).alias(value))
     hit = table.select(*[_q(k) for k in keys], F.col(_q(value)).alias("__hit"))
     out = df.join(hit, on=list(keys), how="left")
     result = F.col("__hit")
@@ -131,9 +107,15 @@ def lookup_or(df: DataFrame, table: DataFrame, keys: Sequence[str], value: str,
 def missing_combos(df: DataFrame, a: str, b: str) -> DataFrame:
     """Every (a, b) pair of the distinct values that has no row in ``df``.
 
-    No product is formed: the distinct ``b`` set is one bounded array (a category
-    dimension), each ``a`` keeps the set of ``b`` it has (at most that many), and the
-    missing ones are ``array_except`` of the two, exploded."""
-    all_b = df.agg(F.array_sort(F.collect_set(_q(b)))).scalar()  # the b dimension, one scalar subquery
-    seen = df.groupBy(_q(a)).agg(F.collect_set(_q(b)).alias("__seen"))
-    return seen.select(_q(a), F.explode(F.array_except(all_b, F.col("__seen"))).alias(b))
+    The distinct pairs present are anti-joined from the frame of distinct values; the frame
+    is built per ``a`` from a generator over the ranks of the ``b`` values, whose values are
+    then looked up by rank, so no buffer holds all of ``b`` and no product join is planned."""
+    from .windows import rank_within
+    values = rank_within(df.select(F.col(_q(b)).alias("__b")).filter("__b IS NOT NULL").distinct(), None, ["__b"],
+                         alias="__rb")
+    n = values.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    frame = (df.select(_q(a)).distinct().filter(n > 0)
+             .select(_q(a), F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(n - 1, F.lit(0)))).alias("__rb"))
+             .join(values, "__rb").select(_q(a), F.col("__b").alias(b)))
+    seen = df.select(F.col(_q(a)).alias("__a"), F.col(_q(b)).alias("__b")).distinct()
+    return frame.join(seen, F.col(_q(a)).eqNullSafe(F.col("__a")) & (F.col(_q(b)) == F.col("__b")), "left_anti")

@@ -13,10 +13,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..session import ensure_checkpoint_dir
 from .schema import _q
+from .windows import rank_within, running_sum_within
 
 
 def _c(x) -> Column:
@@ -56,7 +55,7 @@ def map_at_k(df: DataFrame, actual: str, predicted: str, k: int = 25, by: Sequen
 def weighted_log_loss(df: DataFrame, label: str, logits: Sequence[str], weights: Sequence[float] = (1, 2, 4),
                       ignore: int = -100, eps: float = 1e-15, by: Sequence[str] = ()) -> DataFrame:
     """M6: softmax over the logits; each row weighs ``weights[label]`` (0 for the ignored
-    sentinel); result sum(w * -ln p_label) / sum(w), p clipped to [eps, 1 - eps]."""
+    sentinel); result sum(w * -ln p_label) / sum(w) (null when every row is ignored), p clipped to [eps, 1 - eps]."""
     ls = [F.col(_q(c)).cast("double") for c in logits]
     m = F.greatest(*ls) if len(ls) > 1 else ls[0]
     exps = [F.exp(x - m) for x in ls]
@@ -72,7 +71,7 @@ def weighted_log_loss(df: DataFrame, label: str, logits: Sequence[str], weights:
     w = w.otherwise(F.lit(0.0))
     pc = F.least(F.greatest(p, F.lit(eps)), F.lit(1 - eps))
     loss = F.when(w > 0, w * -F.log(pc)).otherwise(F.lit(0.0))
-    return df.groupBy(*[_q(b) for b in by]).agg((F.sum(loss) / F.sum(w)).alias("log_loss"),
+    return df.groupBy(*[_q(b) for b in by]).agg(F.try_divide(F.sum(loss), F.sum(w)).alias("log_loss"),
                                                 F.sum((w > 0).cast("long")).alias("n_used"))
 
 
@@ -85,26 +84,6 @@ def constant_baseline(df: DataFrame, label: str, n_classes: int = 3, **kw) -> Da
 # ---------------------------------------------------------------- M7 M8
 
 
-def running_sum_within(df: DataFrame, by: Sequence[str], order: str, value: str, alias: str) -> DataFrame:
-    """Exclusive running sum of ``value`` inside each ``by`` group in ``order`` (unique
-    within the group): range-partition on (by, order), running sums inside each
-    partition, plus per-(partition, group) offsets from the partitions before.  The
-    partitioned frame is checkpointed once so both uses see the same partitions."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(_q(b)) for b in by] + [F.col(_q(order))]
-    x = df.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
-    w_local = (Window.partitionBy("__pid", *[_q(b) for b in by]).orderBy(_q(order))
-               .rowsBetween(Window.unboundedPreceding, -1))
-    local = x.withColumn("__loc", F.coalesce(F.sum(_q(value)).over(w_local), F.lit(0)))
-    tot = x.groupBy("__pid", *[_q(b) for b in by]).agg(F.sum(_q(value)).alias("__t"))
-    w_off = Window.partitionBy(*[_q(b) for b in by]).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("__off", F.coalesce(F.sum("__t").over(w_off), F.lit(0))).drop("__t")
-    return (local.join(offs, ["__pid", *by]).withColumn(alias, F.col("__off") + F.col("__loc"))
-            .drop("__pid", "__loc", "__off"))
-
-
 def auc_by(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """M7: ROC AUC per group with average ranks on ties:
     (sum of positive average ranks - P(P+1)/2) / (P N); null when P or N is 0."""
@@ -117,7 +96,7 @@ def auc_by(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Dat
     contrib = F.col("__pos") * (F.col("__below") + (F.col("__cnt") + 1) / 2.0)
     g = ranked.groupBy(*[_q(b) for b in by]).agg(F.sum(contrib).alias("__r"), F.sum("__pos").alias("n_pos"),
                                                  F.sum("__neg").alias("n_neg"))
-    p, nn = F.col("n_pos"), F.col("n_neg")
+    p, nn = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")  # products beyond 64 bits
     auc = F.when((p > 0) & (nn > 0), (F.col("__r") - p * (p + 1) / 2.0) / (p * nn))
     return g.select(*[_q(b) for b in by], auc.alias("auc"), "n_pos", "n_neg")
 
@@ -132,7 +111,7 @@ def gini_stability(df: DataFrame, week: str, label: str, score: str, w_fall: flo
     ``sqrt(var_pop(gini) - slope^2 * var_pop(x))`` (clipped at 0 against rounding)."""
     g = auc_by(df, label, score, [week]).filter(F.col("auc").isNotNull()) \
         .select(_q(week), (2 * F.col("auc") - 1).alias("gini"))
-    x = g.withColumn("x", (F.row_number().over(Window.orderBy(_q(week))) - 1).cast("double"))  # one row per week
+    x = rank_within(g, None, [week], alias="__x").withColumn("x", F.col("__x").cast("double"))
     out = x.agg(F.avg("gini").alias("mean_gini"), F.regr_slope("gini", "x").alias("slope"),
                 F.var_pop("gini").alias("__vy"), F.var_pop("x").alias("__vx"), F.count(F.lit(1)).alias("n_weeks"))
     slope = F.coalesce(F.col("slope"), F.lit(0.0))

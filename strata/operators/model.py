@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 
 def _pipeline(numeric: Sequence[str], categorical: Sequence[str], label: str, max_iter: int, max_depth: int,
-              seed: int) -> Pipeline:
+              seed: int, bins: int) -> Pipeline:
     idx = [StringIndexer(inputCol=c, outputCol=f"__idx_{c}", handleInvalid="keep") for c in categorical]
     vec = VectorAssembler(inputCols=list(numeric) + [f"__idx_{c}" for c in categorical], outputCol="__features",
                           handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="__features", labelCol=label, maxIter=max_iter, maxDepth=max_depth, seed=seed,
-                        maxBins=64)
+                        maxBins=bins)
     return Pipeline(stages=[*idx, vec, gbt])
 
 
@@ -35,18 +35,34 @@ def fit_folds(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     """One model per fold, each trained on the rows outside the fold."""
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # the k fold numbers
     data = df.withColumn(label, F.col(label).cast("double"))
-    return [_pipeline(numeric, categorical, label, max_iter, max_depth, seed)
+    # trees need a bin per level (and one for unseen levels), however many the data has
+    levels = df.agg(*[F.count_distinct(c).alias(c) for c in categorical]).first() if categorical else []
+    bins = max([32, *(n + 2 for n in levels)])
+    return [_pipeline(numeric, categorical, label, max_iter, max_depth, seed, bins)
             .fit(data.filter(F.col(fold) != f)) for f in folds]
 
 
-def score_folds(models: Sequence[PipelineModel], df: DataFrame, key: str, alias: str = "score") -> DataFrame:
-    """M16 + M9: positive-class probability of every fold model, averaged per row."""
-    out = None
+def score_folds(models: Sequence[PipelineModel], df: DataFrame, key: str, alias: str = "score",
+                fold: str | None = None) -> DataFrame:
+    """M16 + M9: positive-class probability, one row per input row (``key`` may repeat).
+
+    Without ``fold``: the average over all fold models (the voting model, for rows none of them
+    saw).  With ``fold``: out-of-fold, each row is scored by the model of its own fold only, the
+    one that was not trained on it.  One frame is transformed by each model in turn; there is
+    no join."""
+    out = df
     for i, m in enumerate(models):
-        p = m.transform(df).select(key, vector_to_array("probability")[1].alias(f"__p{i}"))
-        out = p if out is None else out.join(p, key)
+        before = set(out.columns)
+        scored = m.transform(out).withColumn(f"__p{i}", vector_to_array("probability")[1])
+        out = scored.drop(*[c for c in scored.columns if c not in before and not c.startswith("__p")])
     cols = [F.col(f"__p{i}") for i in range(len(models))]
-    total = cols[0]
-    for c in cols[1:]:
-        total = total + c
-    return out.select(key, (total / len(models)).alias(alias))
+    if fold is None:
+        total = cols[0]
+        for c in cols[1:]:
+            total = total + c
+        result = total / len(models)
+        return out.select(key, result.alias(alias))
+    own = F.when(F.col(fold) == 0, cols[0])
+    for i, c in enumerate(cols[1:], 1):
+        own = own.when(F.col(fold) == i, c)
+    return out.select(key, fold, own.alias(alias))

@@ -84,7 +84,9 @@ def replicate(df: DataFrame, n_col: str, shift_cols: Mapping[str, Column], step:
               alias: str = "copy") -> DataFrame:
     """Each row repeated ``int(n_col)`` times (copy 0..n-1); ``shift_cols`` maps a
     column to the condition under which that column is shifted by ``copy * step``."""
-    x = df.select("*", F.explode(F.sequence(F.lit(0), F.col(_q(n_col)).cast("int") - 1)).alias(alias))
+    n = F.col(_q(n_col)).cast("int")
+    copies = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))  # none below one
+    x = df.select("*", F.explode(copies).alias(alias))
     for c, cond in shift_cols.items():
         x = x.withColumn(c, F.when(cond, F.col(_q(c)) + F.col(alias) * step).otherwise(F.col(_q(c))))
     return x
@@ -123,21 +125,32 @@ def columns_to_array(cols: Sequence[str], cast: str | None = "int") -> Column:
 
 
 def chunk_array(col, size: int) -> Column:
-    """Flat array -> array of consecutive chunks of ``size``."""
+    """Flat array -> array of consecutive chunks of ``size``; the last chunk holds what is
+    left, an empty array has no chunk."""
     c = F.col(_q(col)) if isinstance(col, str) else col
-    n = F.floor(F.size(c) / size).cast("int")
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(c, i * size + 1, size))
+    n = F.ceil(F.size(c) / size).cast("int")
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n)
+    return F.transform(starts, lambda i: F.slice(c, i * size + 1, size))
 
 
 def slot_layout(df: DataFrame, key: str, kind: str, ordinal: str, offsets: Mapping[str, int],
                 total: int, value: str, empty=0) -> DataFrame:
     """Fixed slots per key: slot = offsets[kind] + ordinal; every key gets all
-    ``total`` slots, an unfilled slot holds ``empty``."""
-    pairs = []
+    ``total`` slots, an unfilled slot holds ``empty``.  A kind's block ends where the next
+    begins (or at ``total``); an unknown kind or an ordinal outside its block raises."""
+    starts = sorted(offsets.values())
+    pairs, ends = [], []
     for k, v in offsets.items():
         pairs += [F.lit(k), F.lit(v)]
-    off = F.element_at(F.create_map(*pairs), F.col(_q(kind)))
-    items = df.select(_q(key), (off + F.col(_q(ordinal))).cast("int").alias("slot"), F.col(_q(value)).alias("__v"))
+        ends += [F.lit(k), F.lit(min([s for s in starts if s > v], default=total))]
+    kind_col, ord_col = F.col(_q(kind)), F.col(_q(ordinal))
+    off = F.try_element_at(F.create_map(*pairs), kind_col)
+    slot = (off + ord_col).cast("int")
+    fits = (ord_col >= 0) & (slot < F.try_element_at(F.create_map(*ends), kind_col))
+    slot = F.coalesce(F.when(fits, slot), F.raise_error(F.concat(
+        F.lit("no slot for "), F.coalesce(kind_col.cast("string"), F.lit("null")), F.lit(" "),
+        F.coalesce(ord_col.cast("string"), F.lit("null")))).cast("int"))
+    items = df.select(_q(key), slot.alias("slot"), F.col(_q(value)).alias("__v"))
     frame = df.select(_q(key)).distinct().select(_q(key), F.explode(F.sequence(F.lit(0), F.lit(total - 1))).alias("slot"))
     return (frame.join(items, [key, "slot"], "left")
             .select(_q(key), "slot", F.coalesce(F.col("__v"), F.lit(empty)).alias(value)))

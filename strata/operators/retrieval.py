@@ -41,15 +41,15 @@ def dot(a, b) -> Column:
 
 
 def l2_normalize(a) -> Column:
-    """vector divided by its L2 norm."""
+    """vector divided by its L2 norm; the components of a zero vector become null."""
     a = _c(a)
     norm = F.sqrt(dot(a, a))
-    return F.transform(a, lambda x: x.cast("double") / norm)
+    return F.transform(a, lambda x: F.try_divide(x.cast("double"), norm))
 
 
 def cosine(a, b) -> Column:
-    """cosine similarity of two arrays."""
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    """cosine similarity of two arrays, null when either has no length."""
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
 def _c(x) -> Column:
@@ -75,7 +75,7 @@ def _local_top_k(q_ids: np.ndarray, c_ids: np.ndarray, scores: np.ndarray, k: in
         pick = cand[order]
         out_q.append(np.full(len(pick), q_ids[i]))
         out_c.append(c_ids[pick])
-        out_s.append(scores[i, pick])
+        out_s.append(rs[i, pick])
     if not out_q:
         return pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "c_id": pd.Series([], dtype="int64"),
                              "score": pd.Series([], dtype="float64")})
@@ -114,7 +114,7 @@ def block_top_k(queries: DataFrame, corpus: DataFrame, k: int,
         run, "q_id long, c_id long, score double")
     if exclude_self:
         cands = cands.filter(F.col("q_id") != F.col("c_id"))
-    rounded = cands.withColumn("score", F.round("score", 6))
+    rounded = cands  # blocks round scores once, the final order uses the same values
     w = Window.partitionBy("q_id").orderBy(F.desc("score"), F.asc("c_id"))
     return (rounded.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("q_id", "rank", "c_id", "score"))
@@ -123,9 +123,10 @@ def block_top_k(queries: DataFrame, corpus: DataFrame, k: int,
 def _dense_scores(qpdf: pd.DataFrame, cpdf: pd.DataFrame, k: int) -> pd.DataFrame:
     Q = np.stack(qpdf["vec"].to_numpy()).astype(np.float64)
     C = np.stack(cpdf["vec"].to_numpy()).astype(np.float64)
-    Q /= np.linalg.norm(Q, axis=1, keepdims=True)
-    C /= np.linalg.norm(C, axis=1, keepdims=True)
-    return _local_top_k(qpdf["id"].to_numpy(), cpdf["id"].to_numpy(), Q @ C.T, k)
+    nq, nc = np.linalg.norm(Q, axis=1), np.linalg.norm(C, axis=1)
+    # a vector without length has no direction: as a query it finds nothing, as a candidate it is not found
+    Q, C = Q[nq > 0] / nq[nq > 0, None], C[nc > 0] / nc[nc > 0, None]
+    return _local_top_k(qpdf["id"].to_numpy()[nq > 0], cpdf["id"].to_numpy()[nc > 0], Q @ C.T, k)
 
 
 def top_k(queries: DataFrame, corpus: DataFrame, k: int, q_id: str, c_id: str, vec: str,
@@ -197,18 +198,23 @@ def _sparse_scores(qpdf: pd.DataFrame, cpdf: pd.DataFrame, k: int, q_chunk: int
         sc["r"] = sc["p"].round(6)
         sc = sc.sort_values(["id_q", "r", "id_c"], ascending=[True, False, True]).groupby("id_q").head(k)
         parts.append(pd.DataFrame({"q_id": sc["id_q"].astype("int64"), "c_id": sc["id_c"].astype("int64"),
-                                   "score": sc["p"].astype("float64")}))
+                                   "score": sc["r"].astype("float64")}))
     if not parts:
         return _local_top_k(np.array([]), np.array([]), np.zeros((0, 0)), k)
     return pd.concat(parts, ignore_index=True)
 
 
 def text_top_k(queries: DataFrame, corpus: DataFrame, k: int, q_key: str, q_text: str, c_key: str,
-               c_text: str, q_block_rows: int = 256, c_block_rows: int = 200_000) -> DataFrame:
+               c_text: str, q_block_rows: int = 256, c_block_rows: int = 200_000,
+               fitted: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """M1: TF-IDF cosine top-k (re-aimed from the neural encoder).  A query that shares no
-    token with the corpus returns no row.  Block sizes count (document, token) rows."""
-    docs, idf = tfidf_weights(corpus, c_key, c_text)
-    qw = tfidf_query_weights(queries, q_key, q_text, idf)
+    token with the corpus returns no row.  Block sizes count (document, token) rows; only
+    corpus tokens that some query holds reach the blocks.  ``fitted`` takes the weights of an
+    earlier :func:`tfidf_weights` over the same corpus."""
+    docs, idf = fitted or tfidf_weights(corpus, c_key, c_text)
+    ensure_checkpoint_dir(queries.sparkSession)
+    qw = tfidf_query_weights(queries, q_key, q_text, idf).checkpoint(eager=True)
+    docs = docs.join(qw.select("tok").distinct(), "tok", "left_semi").select("id", "tok", "w")
     return block_top_k(qw, docs, k, _sparse_scores, q_block_rows=q_block_rows, c_block_rows=c_block_rows)
 
 
@@ -218,7 +224,8 @@ def two_stage(queries: DataFrame, corpus: DataFrame, q_key: str, q_text: str, c_
     its best ``feedback`` stage-1 hits (in rank order); stage 2 top-``k2`` by the enriched
     text.  (The reference enriches with a language model's reply built from the stage-1
     list; the model is not built, the hit texts take its place.)"""
-    s1 = text_top_k(queries, corpus, k1, q_key, q_text, c_key, c_text)
+    fitted = tfidf_weights(corpus, c_key, c_text)  # once for both stages
+    s1 = text_top_k(queries, corpus, k1, q_key, q_text, c_key, c_text, fitted=fitted)
     hits = (s1.filter(F.col("rank") <= feedback)
             .join(corpus.select(F.col(_q(c_key)).cast("bigint").alias("c_id"), F.col(_q(c_text)).alias("__t")), "c_id")
             .groupBy(F.col("q_id").alias("__id"))
@@ -227,22 +234,25 @@ def two_stage(queries: DataFrame, corpus: DataFrame, q_key: str, q_text: str, c_
     enriched = (queries.select(F.col(_q(q_key)).cast("bigint").alias("__id"), F.col(_q(q_text)).alias("__qt"))
                 .join(hits, "__id", "left")
                 .select("__id", F.concat_ws(" ", "__qt", "__fb").alias("__text")))
-    return text_top_k(enriched, corpus, k2, "__id", "__text", c_key, c_text)
+    return text_top_k(enriched, corpus, k2, "__id", "__text", c_key, c_text, fitted=fitted)
 
 
 # ---------------------------------------------------------------- rerank (M3 M4)
 
 
 def tournament(cands: Column, scorer: Callable[[Column], Column], block: int = 8, rounds: int = 3) -> Column:
-    """M3: knockout rerank over a ranked candidate array (best first, ``block*rounds+1``
-    items).  The survivor starts as the last item; each round shows the ``block`` items
-    before the previous block plus the survivor and keeps the one with the highest
-    ``scorer(candidate)`` (ties to the smaller ``id``).  Returns the winning candidate."""
+    """M3: knockout rerank over a ranked candidate array (best first, the first
+    ``block*rounds+1`` items take part).  The survivor starts as the last item; each round
+    shows the ``block`` items before the previous block plus the survivor and keeps the one
+    with the highest ``scorer(candidate)`` (ties to the smaller ``id``).  Returns the winning
+    candidate.  A shorter list plays the rounds its items reach; an empty one has no winner."""
     n = block * rounds + 1
-    survivor = F.element_at(cands, n)
+    last = F.least(F.size(cands), F.lit(n))
+    survivor = F.get(cands, last - 1)
     for r in range(rounds):
         start = n - block * (r + 1)
-        shown = F.concat(F.slice(cands, start, block), F.array(survivor))
+        length = F.greatest(F.least(last - start, F.lit(block)), F.lit(0))
+        shown = F.concat(F.slice(cands, F.lit(start), length), F.array(survivor))
         best = F.array_max(F.transform(shown, lambda x: F.struct(scorer(x).alias("s"), (-x["id"]).alias("t"),
                                                                  x.alias("c"))))
         survivor = best["c"]

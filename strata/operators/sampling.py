@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .schema import _q
-from .windows import fold_of_rank, seeded_rank
+from .schema import _q, join_null_safe
+from .windows import Desc, fold_of_rank, rank_within, seeded_rank
 
 
 def split_ids(df: DataFrame, key: str, fractions: Sequence[float] = (0.6, 0.2, 0.2), seed: int = 1,
@@ -51,7 +49,7 @@ def group_kfold(df: DataFrame, key: str, k: int = 5, seed: int = 42, alias: str
     ids = df.select(_q(key)).distinct()
     r = seeded_rank(ids, key, seed, alias="__r", count_alias="__n")
     folds = r.select(_q(key), fold_of_rank(F.col("__r"), F.col("__n"), k).alias(alias))
-    return df.join(folds, on=key, how="inner")
+    return join_null_safe(df, folds, [key])
 
 
 def fold_split(df: DataFrame, folds: DataFrame, key: str, fold: int, alias: str = "fold"):
@@ -60,61 +58,20 @@ def fold_split(df: DataFrame, folds: DataFrame, key: str, fold: int, alias: str
     return df.join(ids, key, "left_anti"), df.join(ids, key, "left_semi")
 
 
-def _assign_groups(counts: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Greedy stratified group assignment on the per-group class-count table.
-
-    Groups are taken in descending order of the population std of their class counts
-    (stable, then group id); each goes to the fold that minimises the mean over classes
-    of the std across folds of the class shares; ties to the fold with fewer rows, then
-    the lower fold number."""
-    groups = counts.index.to_numpy()
-    y = counts.to_numpy(dtype=float)
-    total = y.sum(axis=0)
-    total[total == 0] = 1.0
-    per_fold = np.zeros((k, y.shape[1]))
-    order = np.argsort(-y.std(axis=1), kind="mergesort")
-    fold_of = np.empty(len(groups), dtype=np.int32)
-    for gi in order:
-        best, best_eval, best_n = 0, np.inf, np.inf
-        for f in range(k):
-            per_fold[f] += y[gi]
-            ev = float(np.mean(np.std(per_fold / total, axis=0)))
-            per_fold[f] -= y[gi]
-            n_in = per_fold[f].sum()
-            if ev < best_eval or (np.isclose(ev, best_eval) and n_in < best_n):
-                best, best_eval, best_n = f, ev, n_in
-        per_fold[best] += y[gi]
-        fold_of[gi] = best
-    return pd.DataFrame({"group": groups, "fold": fold_of})
-
-
-# Most groups the sequential greedy assignment takes in one Arrow task.
-MAX_GROUPS_PER_TASK = 200_000
-
-
-def stratified_group_kfold(df: DataFrame, group: str, y: str, k: int = 5, alias: str = "fold",
-                           max_groups_per_task: int = MAX_GROUPS_PER_TASK) -> DataFrame:
-    """Whole groups in one fold with class shares balanced (no shuffle).
-
-    Spark reduces the data to one row per (group, class) count (map-side combined, so a
-    hot group is one row).  The greedy assignment is sequential by nature; it runs over
-    that count table only, in Arrow tasks of at most ``max_groups_per_task`` groups:
-    with fewer groups (weeks, studies) it is one task and exactly the pinned greedy;
-    with more, groups are hash-split into chunks that are each balanced by the same
-    greedy in parallel (balanced chunks add up to balanced folds).  The folds are then
-    joined back to the rows."""
-    counts = df.groupBy(_q(group), _q(y)).agg(F.count(F.lit(1)).alias("n"))
-    n_groups = counts.select(_q(group)).distinct().count()
-    chunks = max(1, -(-n_groups // max(1, max_groups_per_task)))
-    gtype = df.schema[group].dataType.simpleString()
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="g", columns="y", values="n", aggfunc="sum", fill_value=0).sort_index()
-        res = _assign_groups(wide, k)
-        return pd.DataFrame({"g": res["group"], alias: res["fold"].astype("int32")})
-
-    chunk = F.lit(0) if chunks == 1 else F.pmod(F.xxhash64(F.col("g")), F.lit(chunks))
-    folds = (counts.select(F.col(_q(group)).alias("g"), F.col(_q(y)).cast("string").alias("y"), "n")
-             .groupBy(chunk.alias("__chunk")).applyInPandas(
-                 lambda key, pdf: assign(pdf), f"g {gtype}, {alias} int"))
-    return df.join(folds.withColumnRenamed("g", group), on=group, how="inner")
+def stratified_group_kfold(df: DataFrame, group: str, y: str, k: int = 5, alias: str = "fold") -> DataFrame:
+    """Whole groups in one fold with class shares balanced (no shuffle of rows).
+
+    A group's main class is its most frequent one (ties to the smaller).  Groups of a main
+    class are ordered by size descending, then a hash of the group, and dealt in a snake over the folds
+    (0 .. k-1, k-1 .. 0, ...), so each fold gets every class's groups in even shares and large
+    and small groups alternate.  The same rule holds for any number of groups: counts are one
+    row per (group, class), ranks come from :func:`rank_within`, and nothing runs in Python.
+    Null groups and classes are values like others."""
+    counts = df.groupBy(_q(group), _q(y)).agg(F.count(F.lit(1)).alias("__n"))
+    top = counts.groupBy(_q(group)).agg(F.sum("__n").alias("__size"), F.max("__n").alias("__top"))
+    main = (join_null_safe(counts, top, [group]).filter(F.col("__n") == F.col("__top"))
+            .groupBy(_q(group)).agg(F.min(_q(y)).alias("__main"), F.max("__size").alias("__size")))
+    r = rank_within(main, "__main", [Desc("__size"), F.md5(F.coalesce(F.col(_q(group)).cast("string"), F.lit(""))), group], alias="__r")
+    at = F.col("__r") % (2 * k)
+    folds = r.select(_q(group), F.when(at < k, at).otherwise(2 * k - 1 - at).cast("int").alias(alias))
+    return join_null_safe(df, folds, [group])

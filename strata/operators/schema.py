@@ -229,5 +229,18 @@ def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[prefix + c for c in df.columns])
 
 
+def join_null_safe(left, right, keys, how: str = "inner"):
+    """Equi join on ``keys`` in which null equals null (rows with a null key keep their statistics); the result has
+    the left columns, then the other columns of ``right``."""
+    keys = list(keys)
+    other = [c for c in right.columns if c not in keys]
+    r = right.select(*[F.col(_q(k)).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(_q(c)) for c in other])
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(_q(k)).eqNullSafe(F.col(f"__k{i}"))
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"__k{i}" for i in range(len(keys))])
+
+
 def _q(name: str) -> str:
     return f"`{name}`" if not name.startswith("`") else name

@@ -17,13 +17,9 @@ one group holds a large share of the rows, so ranks are computed with
 
 Step 1-2 are materialised once with ``checkpoint()`` so both uses see the same rows.
 
-No group is ever gathered in one task and nothing is collected to the driver.
-
-When every group is *proven* small, the plain window is cheaper (one shuffle, no
-sampling job, no checkpoint, no join): :func:`rank_within` first runs one grouped count
-(combined map-side, one row per group) and takes the window path only when the largest
-group is at most ``max_group_rows``; a global rank (no groups) always takes the
-range-partitioned path.
+No group is ever gathered in one task and nothing is collected to the driver.  There is one path for all sizes; null
+group keys form a group of their own (the offsets are joined null-safe).
+:func:`running_sum_within` is the same scheme for running sums.
 """
 
 from __future__ import annotations
@@ -35,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir
-from .schema import _q
+from .schema import _q, join_null_safe
 
 
 def _cols(x) -> list:
@@ -57,34 +53,15 @@ class Desc:
         self.col = col
 
 
-# Largest group that may be sorted inside one task by a window (the sort spills to disk;
-# beyond this a hot group is spread by range partitioning instead).
-MAX_WINDOW_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, by) -> int:
-    """Row count of the largest ``by`` group (one grouped count, map-side combined)."""
-    cols = [_as_col(b) for b in _cols(by)]
-    row = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n").alias("m")).collect()[0]
-    return int(row["m"] or 0)
-
-
 def rank_within(df: DataFrame, by=None, order=None, alias: str = "rank", count_alias: str | None = None,
-                partitions: int | None = None, max_group_rows: int | None = MAX_WINDOW_GROUP_ROWS) -> DataFrame:
+                partitions: int | None = None) -> DataFrame:
     """0-based row rank inside each ``by`` group in ``order`` (which must be a total
     order; add a unique column last).  Wrap an order item in :class:`Desc` for descending.
-    Optionally adds the group size as ``count_alias``.  Skew-safe; see the module notes
-    (``max_group_rows=None`` forces the range-partitioned path)."""
+    Optionally adds the group size as ``count_alias``.  Rows with a null group key form one
+    group.  Skew-safe; see the module notes."""
     by, order = _cols(by), _cols(order)
     if not order:
         raise ValueError("rank_within needs an order")
-    if by and max_group_rows is not None and largest_group(df, by) <= max_group_rows:
-        keys = [_as_col(b) for b in by]
-        sort = [_as_col(o.col).desc() if isinstance(o, Desc) else _as_col(o).asc() for o in order]
-        out = df.withColumn(alias, (F.row_number().over(Window.partitionBy(*keys).orderBy(*sort)) - 1).cast("bigint"))
-        if count_alias:
-            out = out.withColumn(count_alias, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        return out
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tmp_by = [f"__g{i}" for i in range(len(by))]
     tmp_ord = [f"__o{i}" for i in range(len(order))]
@@ -105,18 +82,38 @@ def rank_within(df: DataFrame, by=None, order=None, alias: str = "rank", count_a
     if count_alias:
         offs = offs.withColumn("__n", F.sum("__c").over(Window.partitionBy(*tmp_by)))
     keep = ["__pid", *tmp_by, "__off", "__m0"] + (["__n"] if count_alias else [])
-    joined = x.join(offs.select(*keep), on=["__pid", *tmp_by], how="inner")
+    joined = join_null_safe(x, offs.select(*keep), ["__pid", *tmp_by])
     out = joined.withColumn(alias, F.col("__off") + F.col("__mid") - F.col("__m0"))
     if count_alias:
         out = out.withColumnRenamed("__n", count_alias)
     return out.drop("__pid", "__mid", "__off", "__m0", *tmp_by, *tmp_ord)
 
 
+def running_sum_within(df: DataFrame, by: Sequence[str], order: str, value: str, alias: str) -> DataFrame:
+    """Exclusive running sum of ``value`` inside each ``by`` group in ``order`` (unique
+    within the group): range-partition on (by, order), running sums inside each
+    partition, plus per-(partition, group) offsets from the partitions before.  The
+    partitioned frame is checkpointed once so both uses see the same partitions."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(_q(b)) for b in by] + [F.col(_q(order))]
+    x = df.repartitionByRange(n, *keys).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+    w_local = (Window.partitionBy("__pid", *[_q(b) for b in by]).orderBy(_q(order))
+               .rowsBetween(Window.unboundedPreceding, -1))
+    local = x.withColumn("__loc", F.coalesce(F.sum(_q(value)).over(w_local), F.lit(0)))
+    tot = x.groupBy("__pid", *[_q(b) for b in by]).agg(F.sum(_q(value)).alias("__t"))
+    w_off = Window.partitionBy(*[_q(b) for b in by]).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.withColumn("__off", F.coalesce(F.sum("__t").over(w_off), F.lit(0))).drop("__t")
+    return (join_null_safe(local, offs, ["__pid", *by]).withColumn(alias, F.col("__off") + F.col("__loc"))
+            .drop("__pid", "__loc", "__off"))
+
+
 def with_group_size(df: DataFrame, key, alias: str = "group_size") -> DataFrame:
     """Group size on every row (aggregate + join, not a window over the group)."""
     key = _cols(key)
     sizes = df.groupBy(*[_q(k) for k in key]).agg(F.count(F.lit(1)).alias(alias))
-    return df.join(sizes, on=key, how="inner")
+    return join_null_safe(df, sizes, key)
 
 
 def fold_of_rank(rank: Column, n: Column, k: int) -> Column:
@@ -150,21 +147,29 @@ def sample_evenly(df: DataFrame, key, order, k: int = 10, alias: str = "slot") -
             .withColumn(alias, F.col("__j") - 1).drop("__js", "__j", "__r", "__n"))
 
 
-def thin(df: DataFrame, key, order, factor: int = 1, max_rows: float = 6e6) -> DataFrame:
-    """Keep every n-th row of each group (rows 0, n, 2n, ...) with
-    ``n = max(factor, ceil(count / max_rows))``."""
+def thin(df: DataFrame, key, order, factor: int = 1, max_rows: float | None = None) -> DataFrame:
+    """Keep every n-th row of each group (rows 0, n, 2n, ...) with ``n = factor``; with
+    ``max_rows`` (off unless given) ``n = max(factor, ceil(count / max_rows))``."""
     key = _cols(key)
     r = rank_within(df, key, order, alias="__r", count_alias="__n")
-    step = F.greatest(F.lit(factor), F.ceil(F.col("__n") / F.lit(max_rows)))
+    step = F.lit(factor) if max_rows is None else F.greatest(F.lit(factor), F.ceil(F.col("__n") / F.lit(max_rows)))
     return r.filter(F.col("__r") % step == 0).drop("__r", "__n")
 
 
 def natural_sort_key(col) -> Column:
-    """O3: digit runs compare as numbers: the text split into digit / non-digit runs, digit
-    runs left-padded to 20 characters; order by the resulting array."""
+    """O3: digit runs compare as numbers of any length.  The text is split into digit and
+    non-digit runs; each run is a (digits, text) pair, where a digit run without its leading
+    zeros is led by its length, and order by the resulting array."""
     c = _as_col(col)
     parts = F.regexp_extract_all(c, F.lit(r"\d+|\D+"), 0)
-    return F.transform(parts, lambda x: F.when(x.rlike(r"^\d+$"), F.lpad(x, 20, "0")).otherwise(x))
+
+    def run(x):
+        bare = F.regexp_replace(x, "^0+(?=.)", "")
+        number = x.rlike(r"^\d+$")
+        return F.struct(F.when(number, F.length(bare)).otherwise(F.lit(0)).alias("size"),
+                        F.when(number, bare).otherwise(x).alias("run"))
+
+    return F.transform(parts, run)
 
 
 def seeded_rank(df: DataFrame, key: str, seed, alias: str = "rank", by=None, count_alias: str | None = None) -> DataFrame:

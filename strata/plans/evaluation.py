@@ -78,13 +78,13 @@ def gini_stability(spark, sf):
 
 
 @query("blend", "M9", sql="""
-SELECT c_custkey, round(0.5 * (c_acctbal / 10000) + 0.25 * (c_nationkey / 25) + 0.25 * ((c_custkey % 100) / 100), 6) AS score
+SELECT c_custkey, round(0.5 * (c_acctbal / 10000) + 0.25 * (c_nationkey / 25) + 0.25 * ((c_custkey % 100) / 100), 8) AS score
 FROM customer""")
 def blend(spark, sf):
     c = table(spark, sf, "customer").select(
         "c_custkey", (F.col("c_acctbal") / 10000).alias("s1"), (F.col("c_nationkey") / 25).alias("s2"),
         ((F.col("c_custkey") % 100) / 100).alias("s3"))
-    return rounded(M.blend(c, {"s1": 0.5, "s2": 0.25, "s3": 0.25}).select("c_custkey", "score"))
+    return rounded(M.blend(c, {"s1": 0.5, "s2": 0.25, "s3": 0.25}).select("c_custkey", "score"), 8)
 
 
 # ---------------------------------------------------------------- M10-M14
@@ -122,37 +122,61 @@ def group_kfold(spark, sf):
     return SP.group_kfold(table(spark, sf, "events").select("user_id", "event_id"), "user_id", 5, seed=42)
 
 
-@query("stratified_group_kfold", "M13")
+_SNAKE = """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+m AS (SELECT user_id, sum(n) AS size, (list(event_type ORDER BY n DESC, event_type))[1] AS main FROM c GROUP BY user_id),
+r AS (SELECT user_id, (row_number() OVER (PARTITION BY main ORDER BY size DESC, md5(CAST(user_id AS VARCHAR)), user_id) - 1) % 10 AS place FROM m),
+f AS (SELECT user_id, CAST(CASE WHEN place < 5 THEN place ELSE 9 - place END AS INTEGER) AS fold FROM r)"""
+
+
+@query("stratified_group_kfold", "M13", sql=f"{_SNAKE} SELECT event_id, user_id, event_type, fold FROM events JOIN f USING (user_id)")
 def stratified_group_kfold(spark, sf):
-    """Whole users in one fold, event-type shares balanced (invariants are unit-tested)."""
+    """Whole users in one fold, event-type shares balanced by the snake rule."""
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
     return SP.stratified_group_kfold(e, "user_id", "event_type", 5)
 
 
-@query("stratified_group_kfold_check", "M13", sql="""
-SELECT count(DISTINCT user_id) AS n_groups, count(*) AS n_rows, count(DISTINCT user_id) AS groups_in_one_fold,
-  count(*) AS rows_with_fold, CAST(least(5, count(DISTINCT user_id)) AS INTEGER) AS n_folds FROM events""")
+@query("stratified_group_kfold_check", "M13", sql=f"""{_SNAKE}
+SELECT event_type, fold, count(*) AS n, count(DISTINCT user_id) AS n_users FROM events JOIN f USING (user_id)
+GROUP BY event_type, fold""")
 def stratified_group_kfold_check(spark, sf):
-    """Invariants of M13 on the whole table: every group in exactly one fold, every row
-    covered, and min(k, groups) folds used (class balance is unit-tested)."""
+    """Class balance of M13: rows and users per (class, fold)."""
     e = table(spark, sf, "events").select("event_id", "user_id", "event_type")
     f = SP.stratified_group_kfold(e, "user_id", "event_type", 5)
-    per_group = f.groupBy("user_id").agg(F.count_distinct("fold").alias("nf"))
-    rows = f.select(F.struct(F.count(F.lit(1)).alias("n"), F.count("fold").alias("with_fold"),
-                             F.count_distinct("fold").alias("folds"))).scalar()
-    return per_group.agg(F.count(F.lit(1)).alias("n_groups"),
-                         F.sum((F.col("nf") == 1).cast("long")).alias("groups_in_one_fold")).select(
-        "n_groups", rows.getField("n").alias("n_rows"), "groups_in_one_fold",
-        rows.getField("with_fold").alias("rows_with_fold"), rows.getField("folds").cast("int").alias("n_folds"))
+    return f.groupBy("event_type", "fold").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("n_users"))
+
+
+@query("group_kfold_null", "M14 M13", sql="""
+SELECT count(*) AS n_rows, count(*) AS with_fold, count(DISTINCT toxic) + max(CAST(toxic IS NULL AS INTEGER)) AS n_groups
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def group_kfold_null(spark, sf):
+    """M14 and M13 on a nullable group: the rows of the null group stay."""
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").select("doc_id", "toxic", "lang")
+    g = SP.group_kfold(SP.stratified_group_kfold(d, "toxic", "lang", 5, alias="sfold"), "toxic", 2)
+    return g.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.col("fold") + F.col("sfold")).alias("with_fold"),
+                 (F.count_distinct("toxic") + F.max(F.col("toxic").isNull().cast("int"))).alias("n_groups"))
+
+
+@query("auc_null_group", "M7", sql="""
+WITH d AS (SELECT toxic AS g, CAST(n_chars % 2 AS INTEGER) AS y, CAST(n_chars % 97 AS DOUBLE) AS s
+           FROM documents LEFT JOIN labels USING (doc_id)),
+r AS (SELECT *, rank() OVER (PARTITION BY g ORDER BY s) + (count(*) OVER (PARTITION BY g, s) - 1) / 2.0 AS rk FROM d)
+SELECT g, round((sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)), 6) AS auc,
+  CAST(sum(y) AS BIGINT) AS n_pos, CAST(sum(1 - y) AS BIGINT) AS n_neg FROM r GROUP BY g""")
+def auc_null_group(spark, sf):
+    """M7 on a nullable group."""
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").select(
+        F.col("toxic").alias("g"), (F.col("n_chars") % 2).cast("int").alias("y"),
+        (F.col("n_chars") % 97).cast("double").alias("s"))
+    return rounded(M.auc_by(d, "y", "s", ["g"]))
 
 
 @query("gbt_folds", "M16 M9 P11")
 def gbt_folds(spark, sf):
-    """Per-fold GBT on document features (label = quality), averaged out-of-fold scores."""
+    """Per-fold GBT on document features (label = quality): every row scored by the model of its fold."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     feats = d.select("doc_id", F.col("quality").alias("label"), F.col("n_chars").cast("double").alias("chars_A"),
                      F.length("text").cast("double").alias("len_A"), F.col("lang").alias("lang_M"),
                      F.col("source").alias("source_M"))
     folded = SP.kfold(feats, "doc_id", 3, seed=42)
     models = ML.fit_folds(folded, ["chars_A", "len_A"], ["lang_M", "source_M"], "label", "fold", max_iter=10)
-    return ML.score_folds(models, folded, "doc_id")
+    return ML.score_folds(models, folded, "doc_id", fold="fold")

@@ -189,6 +189,7 @@ s AS (SELECT
   count(DISTINCT text_M) + max(CAST(text_M IS NULL AS INT)) AS u_text_M,
   count(DISTINCT const_M) + max(CAST(const_M IS NULL AS INT)) AS u_const_M FROM w)
 SELECT "column", round(null_share, 6) AS null_share,
+       CASE WHEN null_share > 0.95 THEN NULL ELSE CAST(n_unique AS BIGINT) END AS n_unique,
        (null_share > 0.95) OR (n_unique IS NOT NULL AND (n_unique = 1 OR n_unique > 200)) AS dropped
 FROM (SELECT 'lang_M' AS "column", n_lang_M AS null_share, u_lang_M AS n_unique FROM s
   UNION ALL SELECT 'source_M', n_source_M, u_source_M FROM s
@@ -203,7 +204,7 @@ FROM (SELECT 'lang_M' AS "column", n_lang_M AS null_share, u_lang_M AS n_unique
 @query("prune_report", "P3 A8", sql=_PRUNE_SQL)
 def prune_report_q(spark, sf):
     rep = C.prune_report(wide_docs(spark, sf), keep=("case_id",))
-    return rounded(rep.select("column", "null_share", "dropped"))
+    return rounded(rep)
 
 
 _WIDE_COLS = ("lang_M", "source_M", "chars_A", "quality_P", "toxic_L", "lines_M", "text_M", "const_M")

@@ -25,26 +25,23 @@ def _scratch(spark: SparkSession, what: str) -> str:
 # -------------------------------------------------------------- S2 + F24: chunked read
 
 @query("read_chunks", "S2 F24 T1", sql="""
-SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, l_extendedprice, l_returnflag,
-  1 AS depth FROM lineitem""")
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_extendedprice AS DOUBLE)
+  AS l_extendedprice, l_returnflag, CAST(l_suppkey % 2 + 1 AS INTEGER) AS depth FROM lineitem""")
 def read_chunks_q(spark, sf):
-    """lineitem written as 4 chunk files ``lineitem_1_<i>`` by ``l_suppkey % 4``; chunk 0
-    stores ``l_quantity`` as int, the others as double, so the union must widen.  The
-    depth comes from the file name (F24)."""
+    """lineitem written as 4 chunk files ``lineitem_<depth>_<i>`` by ``l_suppkey % 4``, which store
+    ``l_quantity`` as int, bigint, float and double and the price as decimals of three shapes, so
+    the union must widen.  The depth comes from each file's own name (F24)."""
     root = _scratch(spark, "chunks")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                                               "l_returnflag", "l_suppkey")
-    for i in range(4):
+    kinds = [("int", "decimal(12,2)"), ("bigint", "decimal(14,4)"), ("float", "decimal(12,2)"), ("double", "decimal(10,2)")]
+    for i, (quantity, price) in enumerate(kinds):
         part = li.filter(F.col("l_suppkey") % 4 == i).drop("l_suppkey")
-        if i == 0:
-            part = part.withColumn("l_quantity", F.col("l_quantity").cast("int"))
-        else:
-            part = part.withColumn("l_quantity", F.col("l_quantity").cast("double"))
-        io.write_parquet(part, f"{root}/lineitem_1_{i}.parquet")
-    paths = io.list_files(spark, f"{root}/lineitem_*_*.parquet")
-    depth = io.depth_from_name(paths[0])
-    df = io.read_chunks(spark, paths, typed=False)
-    return df.withColumn("depth", F.lit(depth))
+        part = (part.withColumn("l_quantity", F.col("l_quantity").cast(quantity))
+                .withColumn("price", F.col("l_extendedprice").cast(price)))
+        io.write_parquet(part.drop("l_extendedprice"), f"{root}/lineitem_{i % 2 + 1}_{i}.parquet")
+    df = io.read_chunks(spark, io.list_files(spark, f"{root}/lineitem_*_*.parquet"), typed=False, depth="depth")
+    return df.withColumn("l_extendedprice", F.col("price").cast("double")).drop("price")
 
 
 # -------------------------------------------------------------- S3 + S5: CSV

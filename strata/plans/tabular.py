@@ -226,12 +226,12 @@ def lookup_or_q(spark, sf):
 
 
 @query("missing_combos", "J10", sql="""
-SELECT u.user_id, t.event_type FROM (SELECT DISTINCT user_id FROM events WHERE value > 50) u
-CROSS JOIN (SELECT DISTINCT event_type FROM events WHERE value > 50) t
-WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.value > 50 AND e.user_id = u.user_id AND e.event_type = t.event_type)""")
+SELECT u.user_id, t.day FROM (SELECT DISTINCT user_id FROM events) u
+CROSS JOIN (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) t
+WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id AND CAST(e.ts AS DATE) = t.day)""")
 def missing_combos_q(spark, sf):
-    e = table(spark, sf, "events").filter(F.col("value") > 50)
-    return J.missing_combos(e, "user_id", "event_type")
+    e = table(spark, sf, "events").select("user_id", F.col("ts").cast("date").alias("day"))
+    return J.missing_combos(e, "user_id", "day")
 
 
 # ---------------------------------------------------------------- required fields
@@ -379,14 +379,15 @@ def minmax_scale_q(spark, sf):
 # ---------------------------------------------------------------- completeness
 
 @query("complete_groups", "A21 W1 P16", sql="""
-WITH d AS (SELECT DISTINCT user_id, event_type, CAST(isodow(ts) AS INTEGER) AS dow FROM events WHERE value IS NOT NULL),
+WITH d AS (SELECT DISTINCT user_id, event_type, CAST(isodow(ts) AS INTEGER) % 2 AS odd FROM events WHERE value IS NOT NULL),
 s AS (SELECT user_id, event_type, count(*) AS n FROM d GROUP BY user_id, event_type),
-k AS (SELECT user_id FROM s GROUP BY user_id HAVING bool_and(n = 7) AND sum(n) = 35)
+k AS (SELECT user_id FROM s GROUP BY user_id HAVING bool_and(n = 2) AND sum(n) = 2 * (SELECT count(DISTINCT event_type) FROM events))
 SELECT d.* FROM d WHERE user_id IN (SELECT user_id FROM k)""")
 def complete_groups_q(spark, sf):
     e = table(spark, sf, "events").dropna(subset=["value"])
-    d = e.select("user_id", "event_type", (F.weekday(F.col("ts").cast("date")) + 1).alias("dow")).distinct()
-    return A.complete_groups(d, "user_id", "event_type", {}, total=35, default=7)
+    d = e.select("user_id", "event_type", ((F.weekday(F.col("ts").cast("date")) + 1) % 2).alias("odd")).distinct()
+    types = table(spark, sf, "events").agg(F.count_distinct("event_type")).first()[0]
+    return A.complete_groups(d, "user_id", "event_type", {}, total=2 * types, default=2)
 
 
 @query("group_size", "W1", sql="""

@@ -93,10 +93,7 @@ def clean_second(spark, sf):
 SELECT page_id, regexp_replace(array_to_string(regexp_extract_all(html, '<p>([^\n]*?)</p>', 1), ','), '^\s+|\s+$', '', 'g')
   AS spans FROM pages""")
 def tag_spans(spark, sf):
-    # the reference's `.` stops only at a newline; `[^\n]` says exactly that in both engines
-    p = table(spark, sf, "pages")
-    spans = X.strip(F.array_join(F.regexp_extract_all("html", F.lit(r"<p>([^\n]*?)</p>"), 1), ","))
-    return p.select("page_id", spans.alias("spans"))
+    return table(spark, sf, "pages").select("page_id", X.tag_spans("html", "p").alias("spans"))
 
 
 _TRANSCRIPT = "'<|im_start|>' || role || '\n' || text || '<|im_end|>\n'"
@@ -105,30 +102,28 @@ _TRANSCRIPT = "'<|im_start|>' || role || '\n' || text || '<|im_end|>\n'"
 def _transcripts(spark, sf):
     c = table(spark, sf, "conversations")
     piece = F.concat(F.lit("<|im_start|>"), F.col("role"), F.lit("\n"), F.col("text"), F.lit("<|im_end|>\n"))
-    t = c.groupBy("conv_id").agg(
+    return c.groupBy("conv_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", piece.alias("p")))), lambda s: s["p"]),
-                     "").alias("transcript"),
-        F.bool_or(F.col("role") == "user").alias("has_user"))
-    return t.filter("has_user").drop("has_user")
+                     "").alias("transcript"))
 
 
 @query("split_chain", "F7", sql=rf"""
 WITH t AS (SELECT conv_id, string_agg({_TRANSCRIPT}, '' ORDER BY turn) AS transcript FROM conversations
-           GROUP BY conv_id HAVING bool_or(role = 'user')),
+           GROUP BY conv_id),
 a AS (SELECT conv_id, regexp_replace(split_part(split_part(transcript, '<|im_start|>user', 2), '<|im_end|>', 1),
-        '^\n+|\n+$', '', 'g') AS x FROM t)
-SELECT conv_id, regexp_replace(string_split(x, '. ')[-1], '^\s+|\s+$', '', 'g') AS extracted FROM a""")
+        '^\n+|\n+$', '', 'g') AS x, contains(transcript, '<|im_start|>user') AS has FROM t)
+SELECT conv_id, CASE WHEN has THEN regexp_replace(string_split(x, '. ')[-1], '^\s+|\s+$', '', 'g') END AS extracted FROM a""")
 def split_chain_q(spark, sf):
     t = _transcripts(spark, sf)
     return t.select("conv_id", X.split_chain("transcript", "<|im_start|>user", "<|im_end|>", ". ").alias("extracted"))
 
 
-PROMPT = "Here is a question about {topic}({source}).\nQuestion: {question}\nAnswer in {lang}."
+PROMPT = "[{topic}, {source}] A reader writes:\n{question}\n\nReply in {lang}."
 
 
 @query("prompt", "F8", sql="""
-SELECT doc_id, 'Here is a question about ' || source || '(' || lang || ').' || chr(10) || 'Question: '
-  || regexp_replace(text, '^\\s+|\\s+$', '', 'g') || chr(10) || 'Answer in ' || lang || '.' AS prompt FROM documents""")
+SELECT doc_id, '[' || source || ', ' || lang || '] A reader writes:' || chr(10)
+  || regexp_replace(text, '^\\s+|\\s+$', '', 'g') || chr(10) || chr(10) || 'Reply in ' || lang || '.' AS prompt FROM documents""")
 def prompt(spark, sf):
     d = table(spark, sf, "documents")
     return d.select("doc_id", X.fill_template(PROMPT, topic=F.col("source"), source=F.col("lang"),
