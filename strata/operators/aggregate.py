@@ -122,9 +122,13 @@ def _run_plan(df, key, plan, types, spec, order_by):
     if lasts:
         exprs.append(F.max_by(F.struct(*[F.col(_q(c)).alias(f"v{i}") for i, c in enumerate(lasts)]), order)
                      .alias("__last"))
-    simple = [(o, a, c) for o, a, c in plan if a not in ORDERED]
+    df = _nan_to_null(df, {c for _, a, c in plan if a not in ORDERED})
+    modes = [c for _, a, c in plan if a == "mode" and "mode" not in spec.extra]
+    simple = [(o, a, c) for o, a, c in plan if a not in ORDERED and not (a == "mode" and c in modes)]
     exprs += [spec.builder(a)(F.col(_q(c)), types[c]).alias(f"__s{i}") for i, (o, a, c) in enumerate(simple)]
-    grouped = df.groupBy(*[_q(k) for k in key]).agg(*exprs)
+    grouped = df.groupBy(*[_q(k) for k in key]).agg(*(exprs or [F.count(F.lit(1)).alias("__rows")]))
+    if modes:
+        grouped = join_null_safe(grouped, _modes(df, key, modes), key, "left")
     sidx = {o: i for i, (o, a, c) in enumerate(simple)}
     out = [F.col(_q(k)) for k in key]
     for o, a, c in plan:
@@ -132,17 +136,41 @@ def _run_plan(df, key, plan, types, spec, order_by):
             out.append(F.col("__first").getField(f"v{firsts.index(c)}").alias(o))
         elif a == "last":
             out.append(F.col("__last").getField(f"v{lasts.index(c)}").alias(o))
+        elif a == "mode" and c in modes:
+            out.append(F.col(f"__mode{modes.index(c)}").cast(types[c]).alias(o))
         else:
             out.append(F.col(f"__s{sidx[o]}").alias(o))
     return grouped.select(*out)
 
 
+def _nan_to_null(df: DataFrame, cols) -> DataFrame:
+    """NaN is a missing value to the aggregates (Spark would take it for the largest number)."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))} & set(cols)
+    return df.withColumns({_q(c) if "." in c else c: F.when(~F.isnan(_q(c)), F.col(_q(c))) for c in floats}) \
+        if floats else df
+
+
+def _modes(df: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """A4: ``key, __mode0, ...``: the most frequent non-null value per key, ties to the smallest.
+
+    Two levels: rows are counted per (key, column, value), map-side combined, then one row per
+    key takes the best count, so no buffer ever holds a key's value counts."""
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(_q(c)).cast("string").alias("v"))
+                                for i, c in enumerate(cols)])).alias("__c")
+    counts = (df.select(*[_q(k) for k in key], cells).filter("__c.v IS NOT NULL")
+              .groupBy(*[_q(k) for k in key], "__c").agg(F.count(F.lit(1)).alias("__n")))
+    best = [F.min_by("__c.v", F.when(F.col("__c.i") == i, F.struct((-F.col("__n")).alias("n"), F.col("__c.v"))))
+            .alias(f"__mode{i}") for i in range(len(cols))]
+    return counts.groupBy(*[_q(k) for k in key]).agg(*best)
+
+
 def agg_by_suffix(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """A1: per key, ``max_<c>`` for every P/A/D/M/T/L and ``num_group*`` column, then
     ``min_<c>`` for the same columns (nulls skipped, strings lexical)."""
     key = [key] if isinstance(key, str) else list(key)
     fams = _families(df, key)
     cols = [c for _, cs in fams for c in cs]
+    df = _nan_to_null(df, cols)
     exprs = [F.max(_q(c)).alias(f"max_{c}") for c in cols] + [F.min(_q(c)).alias(f"min_{c}") for c in cols]
     return df.groupBy(*[_q(k) for k in key]).agg(*exprs)
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators import aggregate as A
 from ..operators import columns as C
+from ..operators import encode as E
 from ..operators import joins as J
 from ..operators import schema as S
 from .catalog import query, rounded, table
@@ -301,3 +302,121 @@ def day_parts(spark, sf):
         F.col("o_orderkey").alias("case_id"), F.col("o_orderdate").cast("date").alias("date_decision"),
         F.lit("1998-12-31").cast("date").alias("horizon_D"), "o_totalprice")
     return C.dates_to_offsets(C.add_calendar(o, "date_decision", at=1), "date_decision")
+
+
+# ---- the whole build: base, two static tables, two depth-1 children, one depth-2 child ----
+
+BUILD_SPEC = A.AggSpec(num_aggs=("max", "min"), str_aggs=("max", "min"), group_aggs=("max", "min"))
+_EXTRA_SQL = ("SELECT l_orderkey AS case_id, CAST(l_linenumber AS BIGINT) AS num_group1, l_tax AS tax_A, "
+              "CAST(l_shipdate AS DATE) AS sent_D, l_linestatus AS state_M FROM lineitem WHERE l_returnflag = 'R'")
+_DEEP_SQL = ("SELECT l_orderkey AS case_id, CAST(l_suppkey % 3 AS BIGINT) AS num_group1, "
+             "CAST(l_linenumber AS BIGINT) AS num_group2, l_quantity AS amount_A, l_returnflag AS flag_M FROM lineitem")
+
+
+def _built(spark: SparkSession, sf: str) -> DataFrame:
+    """Base + 2 static + 2 depth-1 + 1 depth-2 tables in one left-join chain with ``_{i}`` suffixes."""
+    o, li = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    static0 = o.select(F.col("o_orderkey").alias("case_id"), F.col("o_totalprice").alias("totalprice_A"),
+                       F.concat(F.lit("k"), F.col("o_custkey")).alias("cust_M"))
+    static1 = o.join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        F.col("o_orderkey").alias("case_id"), F.col("c_acctbal").alias("acctbal_A"), F.col("c_mktsegment").alias("segment_M"))
+    extra = S.apply_type_rules(li.filter("l_returnflag = 'R'").select(
+        F.col("l_orderkey").alias("case_id"), F.col("l_linenumber").alias("num_group1"), F.col("l_tax").alias("tax_A"),
+        F.col("l_shipdate").alias("sent_D"), F.col("l_linestatus").alias("state_M")))
+    deep = S.apply_type_rules(li.select(
+        F.col("l_orderkey").alias("case_id"), (F.col("l_suppkey") % 3).alias("num_group1"),
+        F.col("l_linenumber").alias("num_group2"), F.col("l_quantity").alias("amount_A"),
+        F.col("l_returnflag").alias("flag_M")))
+    children = [A.aggregate(x, "case_id", BUILD_SPEC) for x in (child_view(spark, sf), extra, deep)]
+    wide = J.join_all(base_view(spark, sf), [static0, static1, *children], on="case_id")
+    return C.dates_to_offsets(C.add_calendar(wide, "date_decision", at=5), "date_decision")
+
+
+def _is_train() -> "F.Column":
+    return F.col("case_id") % 4 != 0
+
+
+def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    num = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))}
+    vals = [(F.col(c).cast("decimal(20,4)") if c in num else F.col(c)).cast("string").alias(c) for c in cols]
+    return df.select("case_id", *vals).unpivot("case_id", cols, "column", "value")
+
+
+_AGG = {"num": ("max", "min"), "strs": ("max", "min"), "group": ("max", "min")}
+_CHILDREN_SQL = [
+    suffix_agg_sql(CHILD_SQL, "case_id", CHILD_COLS, ["num_group1"], **_AGG),
+    suffix_agg_sql(_EXTRA_SQL, "case_id", [("num_group1", "group"), ("tax_A", "num"), ("sent_D", "date"), ("state_M", "str")],
+                   ["num_group1"], **_AGG),
+    suffix_agg_sql(_DEEP_SQL, "case_id", [("num_group1", "group"), ("num_group2", "group"), ("amount_A", "num"),
+                                          ("flag_M", "str")], ["num_group1", "num_group2"], **_AGG)]
+
+
+def _built_sql() -> tuple[str, list[str], list[str]]:
+    """(SELECT of the joined build with every column as text, its names, the string columns)."""
+    cols = [("WEEK_NUM", "CAST(b.WEEK_NUM AS VARCHAR)"), ("target", "CAST(b.target AS VARCHAR)")]
+    dec = "CAST(CAST({} AS DECIMAL(20, 4)) AS VARCHAR)"
+    cols += [("totalprice_A", dec.format("b.totalprice_A")), ("priority_M", "b.priority_M"),
+             ("month_decision", "CAST(month(b.date_decision) AS VARCHAR)"),
+             ("weekday_decision", "CAST(isodow(b.date_decision) AS VARCHAR)"),
+             ("totalprice_A_0", dec.format("o.o_totalprice")), ("cust_M", "'k' || o.o_custkey"),
+             ("acctbal_A", dec.format("k.c_acctbal")), ("segment_M", "k.c_mktsegment")]
+    strings = ["priority_M", "cust_M", "segment_M"]
+    fams = [[("quantity_P", "n"), ("price_A", "n"), ("discount_A", "n"), ("ship_D", "d"), ("flag_M", "m"), ("status_L", "s"),
+             ("num_group1", "g")],
+            [("tax_A", "n"), ("sent_D", "d"), ("state_M", "m"), ("num_group1", "g")],
+            [("amount_A", "n"), ("flag_M", "m"), ("num_group1", "g"), ("num_group2", "g")]]
+    taken = set()
+    for i, fam in enumerate(fams):
+        for c, kind in fam:
+            for agg in ("max", "min", *(["mode"] if kind == "m" else [])):
+                name, ref = f"{agg}_{c}", f"t{i}.{agg}_{c}"
+                out = f"{name}_{i + 2}" if name in taken else name
+                taken.add(name)
+                expr = (dec.format(ref) if kind == "n" else f"CAST(date_diff('day', b.date_decision, {ref}) AS VARCHAR)"
+                        if kind == "d" else f"CAST({ref} AS VARCHAR)")
+                cols.append((out, expr))
+                if kind in "ms":
+                    strings.append(out)
+    joins = "".join(f" LEFT JOIN {sql} t{i} ON t{i}.case_id = b.case_id" for i, sql in enumerate(_CHILDREN_SQL))
+    return (f"SELECT b.case_id, {', '.join(f'{e} AS {n}' for n, e in cols)} FROM ({BASE_SQL}) b "
+            f"LEFT JOIN orders o ON o.o_orderkey = b.case_id LEFT JOIN customer k ON k.c_custkey = o.o_custkey{joins}",
+            [n for n, _ in cols], strings)
+
+
+def _feature_build_sql(side: str) -> str:
+    wide, names, strings = _built_sql()
+    quoted = ", ".join(f"'{s}'" for s in strings)
+    keep = "'target', 'WEEK_NUM'"
+    head = f"""WITH w AS MATERIALIZED ({wide}),
+l AS (SELECT case_id, "column", value FROM w UNPIVOT INCLUDE NULLS (value FOR "column" IN ({', '.join(names)}))),
+s AS (SELECT "column", avg(CAST(value IS NULL AS DOUBLE)) AS share,
+        count(DISTINCT value) + max(CAST(value IS NULL AS INTEGER)) AS n FROM l WHERE case_id % 4 <> 0 GROUP BY "column"),
+kept AS (SELECT "column" FROM s WHERE "column" IN ({keep}) OR (share <= 0.95
+           AND ("column" NOT IN ({quoted}) OR n BETWEEN 2 AND 200))),
+"""
+    if side == "train":
+        return head + """o AS (SELECT 1) SELECT l.case_id, l."column", l.value FROM l JOIN kept USING ("column") WHERE case_id % 4 <> 0"""
+    return head + f"""lev AS (SELECT DISTINCT "column", value FROM l WHERE case_id % 4 <> 0 AND "column" IN ({quoted}) AND value IS NOT NULL)
+SELECT l.case_id, l."column", CASE WHEN l."column" NOT IN ({quoted}) THEN l.value WHEN l.value IS NULL THEN 'Missing'
+  WHEN lev.value IS NULL THEN 'Unknown' ELSE l.value END AS value
+FROM l JOIN kept USING ("column") LEFT JOIN lev ON lev."column" = l."column" AND lev.value = l.value
+WHERE l.case_id % 4 = 0 AND l."column" <> 'target'"""
+
+
+@query("feature_build_train", "J1 A2 A4 P2 P3 P4", sql=_feature_build_sql("train"))
+def feature_build_train(spark, sf):
+    """The training side of the whole build, pruned on its own rows; in long form."""
+    train = C.prune_columns(_built(spark, sf).filter(_is_train()))
+    return _long(train, [c for c in train.columns if c != "case_id"])
+
+
+@query("feature_build_score", "P12 P19 J1 A2 P3", sql=_feature_build_sql("score"))
+def feature_build_score(spark, sf):
+    """The scoring side: the columns that pruning kept on the training side (without the target), string values
+    outside the training dictionary as Unknown, nulls as Missing; in long form."""
+    built = _built(spark, sf)
+    train = C.prune_columns(built.filter(_is_train()))
+    strings = [f.name for f in train.schema.fields if isinstance(f.dataType, T.StringType)]
+    score = S.align_to(built.filter(~_is_train()), train.columns, drop=("target",))
+    score = E.align_categories(score, E.fit_dictionary(train, strings), strings, with_codes=False)
+    return _long(score, [c for c in score.columns if c != "case_id"])
