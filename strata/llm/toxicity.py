@@ -1,6 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained and run in numpy.
 
-A word's input is its word embedding (hashed vocabulary) and the mean of its character-pair embeddings.  A document is
+A word's input is its word embedding (hashed vocabulary) and the mean of its character embeddings (hashed grams of four
+neighbouring bytes, so unseen forms of a known stem are close to it).  A document is
 cut into overlapping windows of words; in each window a forward and a backward GRU read the words, attention pools
 their states, and a logistic unit scores the window.  A document's score is that of its worst window, so a toxic
 passage shows at any place of any length of text.
@@ -46,7 +47,7 @@ def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 class Network:
     """Weights and passes.  ``dirs`` holds the forward and the backward GRU: input weights, state weights, biases."""
 
-    def __init__(self, word_rows: int = 1 << 15, char_rows: int = 1 << 12, dim: int = 8, hidden: int = 8,
+    def __init__(self, word_rows: int = 1 << 15, char_rows: int = 1 << 14, dim: int = 8, hidden: int = 8,
                  seed: int = 11):
         r = np.random.default_rng(seed)
         g = lambda *s, k=0.3: (r.standard_normal(s) * k).astype(np.float32)
@@ -60,25 +61,28 @@ class Network:
     # -- inputs --------------------------------------------------------------------------------------------------
 
     def vocabulary(self, data, start, end, h):
-        """Distinct words of a batch: (inverse, word rows, character-pair rows, first pair of each word)."""
+        """Distinct words of a batch: (inverse, word rows, rows of the four-byte grams around each byte, first gram of
+        each word)."""
         _, at, inverse = np.unique(h, return_index=True, return_inverse=True)
         s, size = start[at], (end - start)[at]
         first = np.cumsum(size) - size
         pos = np.arange(int(size.sum())) - np.repeat(first - s, size)
         a = data[pos].astype(np.uint64)
-        nxt = np.append(a[1:], np.uint64(0))
-        if len(first):
-            nxt[first[1:] - 1] = 0
-            nxt[-1] = 0
-        pairs = (mix64(a * np.uint64(256) + nxt) % np.uint64(self.char_rows)).astype(np.int64)
-        return inverse, (h[at] % np.uint64(self.word_rows)).astype(np.int64), pairs, first
-
-    def embed(self, word_rows, pairs, first):
+        place = np.arange(len(a)) - np.repeat(first, size)
+        left = np.repeat(size, size) - place
+        gram = np.zeros(len(a), np.uint64)
+        for step in (-2, -1, 0, 1):  # four neighbouring bytes, zero outside the word
+            near = np.roll(a, -step)
+            gram = gram * np.uint64(256) + np.where((place + step >= 0) & (left > step), near, np.uint64(0))
+        grams = (mix64(gram) % np.uint64(self.char_rows)).astype(np.int64)
+        return inverse, (h[at] % np.uint64(self.word_rows)).astype(np.int64), grams, first
+
+    def embed(self, word_rows, grams, first):
         """Input vectors of distinct words."""
         if not len(word_rows):
             return np.zeros((0, self.p["wf"].shape[0]), np.float32)
-        size = np.diff(np.append(first, len(pairs))).astype(np.float32)
-        chars = np.add.reduceat(self.p["char"][pairs], first, axis=0) / size[:, None]
+        size = np.diff(np.append(first, len(grams))).astype(np.float32)
+        chars = np.add.reduceat(self.p["char"][grams], first, axis=0) / size[:, None]
         return np.concatenate([self.p["word"][word_rows], chars], 1)
 
     # -- scoring -------------------------------------------------------------------------------------------------
@@ -121,18 +125,18 @@ class Network:
     def document_logits(self, data, off, hasher) -> np.ndarray:
         """Worst window of every document; an empty document has the bias alone."""
         s, e, h, first = words(data, off, hasher)
-        ids, rows, pairs, at = self.vocabulary(lower_bytes(data), s, e, h)
+        ids, rows, grams, at = self.vocabulary(lower_bytes(data), s, e, h)
         start, size, doc = windows(first)
         out = np.full(len(off) - 1, -np.inf, np.float32)
         if len(start):
-            np.maximum.at(out, doc, self.window_logits(self.embed(rows, pairs, at), ids, start, size))
+            np.maximum.at(out, doc, self.window_logits(self.embed(rows, grams, at), ids, start, size))
         return np.where(np.isinf(out), min(self.p["bias"][0], self.empty), out)
 
     empty = -1.0  # a text without words is never toxic
 
     # -- training ------------------------------------------------------------------------------------------------
 
-    def gradient(self, word_rows, pairs, first, ids, start, size, grad_of):
+    def gradient(self, word_rows, grams, first, ids, start, size, grad_of):
         """Gradients for a batch of windows; ``grad_of(logits)`` gives dLoss / dLogit."""
         steps, m, k = int(size.max()), len(start), self.h
         t = np.arange(steps)[:, None]
@@ -140,10 +144,10 @@ class Network:
         # only the words of these windows
         used, local = np.unique(ids[start + np.minimum(t, size - 1)], return_inverse=True)
         local = local.reshape(steps, m)
-        length = np.diff(np.append(first, len(pairs)))[used]
-        pairs = pairs[np.arange(int(length.sum())) + np.repeat(first[used] - (np.cumsum(length) - length), length)]
+        length = np.diff(np.append(first, len(grams)))[used]
+        grams = grams[np.arange(int(length.sum())) + np.repeat(first[used] - (np.cumsum(length) - length), length)]
         word_rows, first = word_rows[used], np.cumsum(length) - length
-        x = self.embed(word_rows, pairs, first)
+        x = self.embed(word_rows, grams, first)
         at = {"f": local, "b": np.take_along_axis(local, np.maximum(size - 1 - t, 0), 0)}
         states, cache = {}, {}
         for d in "fb":
@@ -199,13 +203,13 @@ class Network:
             dx += _scatter(at[d][mask], (dproj @ self.p[f"w{d}"].T)[mask], len(dx))
         dim = self.p["word"].shape[1]
         g["word"] = _scatter(word_rows, dx[:, :dim], self.word_rows)
-        g["char"] = _scatter(pairs, np.repeat(dx[:, dim:] / length[:, None], length, axis=0), self.char_rows)
+        g["char"] = _scatter(grams, np.repeat(dx[:, dim:] / length[:, None], length, axis=0), self.char_rows)
         return g, logit
 
     def fit(self, data, off, y, weight, epochs: int = 8, batch: int = 128, rate: float = 0.02, seed: int = 5):
         """Adam on the worst window of every document; the first epochs also push down every window of clean ones."""
         s, e, h, first = words(data, off, Hasher())
-        ids, rows, pairs, at = self.vocabulary(lower_bytes(data), s, e, h)
+        ids, rows, grams, at = self.vocabulary(lower_bytes(data), s, e, h)
         start, size, doc = windows(first)
         if not len(start) or y.min() == y.max():
             self.p["bias"][0] = 2.0 if len(y) and y.min() == 1 else -2.0
@@ -215,7 +219,7 @@ class Network:
         m2 = {n: np.zeros_like(v) for n, v in self.p.items()}
         step = 0
         for epoch in range(epochs):
-            logits = self.window_logits(self.embed(rows, pairs, at), ids, start, size)
+            logits = self.window_logits(self.embed(rows, grams, at), ids, start, size)
             if epoch:
                 order = np.lexsort((-logits, doc))
             else:  # nothing is learnt yet: a random window
@@ -228,15 +232,15 @@ class Network:
                 if len(w) < 2:
                     continue
                 goal, wt = y[doc[w]], weight[doc[w]]
-                g, _ = self.gradient(rows, pairs, at, ids, start[w], size[w],
+                g, _ = self.gradient(rows, grams, at, ids, start[w], size[w],
                                      lambda z: wt * (_sigmoid(z) - goal) / len(w))
                 step += 1
                 lr = rate * (1 - 0.8 * epoch / epochs)
                 for n in self.p:
                     m1[n] += 0.1 * (g[n] - m1[n])
                     m2[n] += 0.01 * (g[n] ** 2 - m2[n])
-                    if n in ("word", "char"):  # words seen once should not stay loud
-                        self.p[n] *= 1 - 0.5 * lr
+                    if n == "word":  # words seen once should not stay loud
+                        self.p[n] *= 1 - 0.3 * lr
                     self.p[n] -= lr * (m1[n] / (1 - 0.9 ** step)) / (np.sqrt(m2[n] / (1 - 0.99 ** step)) + 1e-6)
         return self
 
