@@ -442,3 +442,67 @@ SELECT doc_id, row_number() OVER (ORDER BY length(text) DESC, doc_id) - 1 AS len
 def length_batches(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
     return W.with_length_batches(d, "text", "doc_id", 16).select("doc_id", "length_rank", "batch")
+
+
+# ---------------------------------------------------------------- small operators on their own
+
+
+@query("drop_null_rows", "P16", sql="""
+SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)
+WHERE doc_id IS NOT NULL AND lang IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL""")
+def drop_null_rows(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang").join(table(spark, sf, "labels"), "doc_id", "left")
+    return d.select("doc_id", "lang", "quality", "toxic").dropna()
+
+
+@query("map_per", "A13", sql="""
+SELECT n_regionkey, string_agg(n_name || '=' || CAST(n_nationkey AS VARCHAR), ',' ORDER BY n_name) AS mapping
+FROM nation GROUP BY n_regionkey""")
+def map_per_q(spark, sf):
+    m = A.map_per(table(spark, sf, "nation"), "n_regionkey", "n_name", "n_nationkey")
+    pairs = F.array_sort(F.map_entries("mapping"))
+    return m.select("n_regionkey", F.array_join(F.transform(pairs, lambda e: F.concat(
+        e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("mapping"))
+
+
+@query("nonzero_cells", "U9", sql="""
+WITH a AS (SELECT l_orderkey, l_linenumber, [l_partkey % 3, l_suppkey % 2, l_linenumber % 2] AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(i AS INTEGER) AS pos, CAST(v[i + 1] AS BIGINT) AS v
+FROM a, range(0, 3) r(i) WHERE v[i + 1] <> 0""")
+def nonzero_cells_q(spark, sf):
+    from ..operators import reshape as R
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.array(
+        (F.col("l_partkey") % 3).cast("bigint"), (F.col("l_suppkey") % 2).cast("bigint"),
+        (F.col("l_linenumber") % 2).cast("bigint")).alias("cells"))
+    return R.nonzero_cells(li, "cells")
+
+
+@query("l2_normalize", "F15", sql="""
+SELECT vec_id, round(sum(x * x) / sum(x * x), 6) AS norm, round(max(CASE WHEN i = 1 THEN x END) / sqrt(sum(x * x)), 5) AS head
+FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)
+GROUP BY vec_id""")
+def l2_normalize_q(spark, sf):
+    from ..operators import retrieval as R
+    e = table(spark, sf, "embeddings").select("vec_id", R.l2_normalize("embedding").alias("u"))
+    return e.select("vec_id", F.round(R.dot("u", "u"), 6).alias("norm"), F.round(F.get("u", F.lit(0)), 5).alias("head"))
+
+
+@query("mean_blend", "M9", sql="""
+SELECT c_custkey, round((CAST(c_acctbal AS DOUBLE) + c_nationkey + c_custkey % 100) / 3, 6) AS score FROM customer""")
+def mean_blend_q(spark, sf):
+    from ..operators import metrics as M
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").cast("double").alias("a"),
+                                            F.col("c_nationkey").cast("double").alias("b"),
+                                            (F.col("c_custkey") % 100).cast("double").alias("c"))
+    return M.mean_blend(c, ["a", "b", "c"]).select("c_custkey", F.round("score", 6).alias("score"))
+
+
+@query("downcast", "P5", sql="""
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity, CAST(l_partkey AS BIGINT) AS l_partkey FROM lineitem""")
+def downcast_q(spark, sf):
+    """The values survive the narrowing (the narrowed types are in ``downcast_report``)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey")
+    kinds = dict(li.dtypes)
+    small = S.downcast(li)
+    return small.select(F.col("l_orderkey").cast(kinds["l_orderkey"]), F.col("l_linenumber").cast(kinds["l_linenumber"]),
+                        F.col("l_quantity").cast("double"), F.col("l_partkey").cast("bigint"))

@@ -28,6 +28,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # a checkpoint goes with its DataFrame
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
