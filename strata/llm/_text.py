@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 # bytes handled at once by the vectorised helpers
-PIECE = 1 << 22
+PIECE = 1 << 20
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _R = 0xD6E8FEB86659FD93  # odd base of the polynomial hash
