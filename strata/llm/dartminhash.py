@@ -8,9 +8,9 @@ belongs to one of ``k`` coordinates and the earliest dart of each coordinate is
 a coordinate with probability equal to the similarity.
 
 ``rows`` coordinates make a band; texts that share a band meet.  In each band bucket every text is checked exactly
-against the bucket's smallest one.  Buckets that the resulting links leave in several components are then compared
-block by block on their signatures, and the pairs that look similar are checked exactly too, so no link is lost to the
-choice of the representative.  Equal word sequences are one node from the start, so copies never make pairs.
+against the bucket's smallest one.  In buckets that the resulting links leave in several components, all pairs of different
+components that look similar by their signatures are then checked exactly inside tasks, block against block, and only
+links that join components leave them, so no link is lost to the choice of the representative and none is repeated.  Equal word sequences are one node from the start, so copies never make pairs.
 """
 
 from __future__ import annotations
@@ -187,11 +187,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _look_alikes(members: DataFrame, floor: float, k: int, block: int = 2048) -> DataFrame:
-    """Pairs (a, b) of different components inside a bucket whose signatures agree at ``floor`` of the coordinates.
+def _joining_links(members: DataFrame, payload: DataFrame, similar: float, k: int, rows: int, block: int = 2048) -> DataFrame:
+    """Links (a, b) that join different components inside a bucket.
 
-    ``members``: key, node, comp, sig.  Members outside the bucket's largest component meet all others; large buckets
-    are cut into blocks and only pairs of blocks meet in a task."""
+    ``members``: key, band, node, comp; ``payload``: node, sig, cells, attached last so that it travels once to each
+    side.  Members outside the bucket's largest component meet all others;
+    large buckets are cut into blocks and only pairs of blocks meet in a task.  A task takes up a pair only in the first
+    band that the two share, only if their signatures come near, and only while the links found so far leave their
+    components apart; it checks the pair exactly and returns the links that join, fewer than it has components."""
+    floor = similar - 3.5 * math.sqrt(similar * (1 - similar) / k)
     per = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     top = per.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("total"),
                                  F.count(F.lit(1)).alias("parts")).filter("parts > 1")
@@ -199,23 +203,34 @@ def _look_alikes(members: DataFrame, floor: float, k: int, block: int = 2048) ->
     blocks = F.ceil(F.col("total") / block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    cols = ["key", "node", "comp", "sig"]
+    cols = ["key", "band", "node", "comp"]
     loose = x.filter(F.col("comp") != F.col("main")).select(*cols, own.alias("lb"), every.alias("rb"))
-    others = x.join(loose.groupBy("key", "lb").agg(F.count(F.lit(1)).alias("c")), "key").select(
-        *cols, "lb", own.alias("rb"))
+    others = x.join(loose.select("key", "lb").distinct(), "key").select(*cols, "lb", own.alias("rb"))
+    loose, others = loose.join(payload, "node"), others.join(payload, "node")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = [], []
         if left.num_rows and right.num_rows:
             left = left.rename_columns([c.removeprefix("l_") for c in left.column_names])
-            ids = [t.column("node").to_pylist() for t in (left, right)]
-            comps = [np.array(t.column("comp").to_pylist(), object) for t in (left, right)]
+            band = left.column("band")[0].as_py()
+            ids, comps, sets = ([t.column(c).to_pylist() for t in (left, right)] for c in ("node", "comp", "cells"))
             sigs = [np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, k) for t in (left, right)]
+            number = {c: i for i, c in enumerate(sorted({*comps[0], *comps[1]}))}
+            home = np.arange(len(number))  # component number -> joined component, kept flat
+            at = [np.array([number[c] for c in x]) for x in comps]
+            size = np.array([len(x) for x in sets[1]])
             for i in range(len(ids[0])):
-                near = (sigs[1] == sigs[0][i]).mean(1) >= floor
-                for j in np.flatnonzero(near & (comps[1] != comps[0][i])).tolist():
-                    a.append(max(ids[0][i], ids[1][j]))
-                    b.append(min(ids[0][i], ids[1][j]))
+                same = sigs[1] == sigs[0][i]
+                n = len(sets[0][i])
+                near = (same.mean(1) >= floor) & (home[at[1]] != home[at[0][i]]) & (
+                    np.minimum(size, n) >= similar * np.maximum(size, n))
+                near &= same[:, :k // rows * rows].reshape(len(same), -1, rows).all(2).argmax(1) == band
+                for j in np.flatnonzero(near).tolist():
+                    p, q = home[at[0][i]], home[at[1][j]]
+                    if p != q and weighted_jaccard(sets[0][i], sets[1][j]) >= similar:
+                        home[home == p] = q
+                        a.append(max(ids[0][i], ids[1][j]))
+                        b.append(min(ids[0][i], ids[1][j]))
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     loose = loose.select(*[F.col(c).alias(f"l_{c}") for c in loose.columns])  # both sides come from one table
@@ -243,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one node per distinct word sequence, wherever its copies lie
     nodes = raw.groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("sig").alias("sig"),
                                     F.first("bands").alias("bands")).checkpoint(eager=True)
-    bands = nodes.select("node", F.explode("bands").alias("key"))
+    bands = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = bands.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top"), F.count(F.lit(1)).alias("n"))
     buckets = buckets.filter("n > 1").checkpoint(eager=True)
     crowded = buckets.filter("n > 2")
@@ -264,12 +279,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = components(links)
     # buckets that the links leave in several components
     members = (bands.join(crowded.select("key"), "key").join(comp, "node", "left")
-               .withColumn("comp", F.coalesce("comp", "node"))).checkpoint(eager=True)
+               .select("key", "band", "node", F.coalesce("comp", "node").alias("comp"))).checkpoint(eager=True)
     split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    open_ones = members.join(split.select("key"), "key").join(nodes.select("node", "sig"), "node")
-    floor = similar - 3.5 * math.sqrt(similar * (1 - similar) / k)
-    more = _look_alikes(open_ones, floor, k).join(pairs, ["a", "b"], "left_anti").checkpoint(eager=True)
-    links = links.unionByName(_verified(more, sets, similar))
+    open_ones = members.join(split.select("key"), "key").checkpoint(eager=True)
+    payload = nodes.select("node", "sig").join(sets, "node")
+    links = links.unionByName(_joining_links(open_ones, payload, similar, k, rows).checkpoint(eager=True))
     comp = components(links)
     home = nodes.select("node", "rep").join(comp, "node", "left").select(
         "node", "rep", F.coalesce("comp", "node").alias("class_key"))
