@@ -9,8 +9,9 @@ a coordinate with probability equal to the similarity.
 
 ``rows`` coordinates make a band; texts that share a band meet.  In each band bucket every text is checked exactly
 against the bucket's smallest one.  In buckets that the resulting links leave in several components, all pairs of different
-components that look similar by their signatures are then checked exactly inside tasks, block against block, and only
-links that join components leave them, so no link is lost to the choice of the representative and none is repeated.  Equal word sequences are one node from the start, so copies never make pairs.
+components whose sizes allow the similarity are then checked exactly inside tasks, block against block, and only links
+that join components leave them, so no pair that shares a band is lost to the choice of the representative and none is
+repeated.  Equal word sequences are one node from the start, so copies never make pairs.
 """
 
 from __future__ import annotations
@@ -193,9 +194,8 @@ def _joining_links(members: DataFrame, payload: DataFrame, similar: float, k: in
     ``members``: key, band, node, comp; ``payload``: node, sig, cells, attached last so that it travels once to each
     side.  Members outside the bucket's largest component meet all others;
     large buckets are cut into blocks and only pairs of blocks meet in a task.  A task takes up a pair only in the first
-    band that the two share, only if their signatures come near, and only while the links found so far leave their
+    band that the two share, only if their sizes allow the similarity, and only while the links found so far leave their
     components apart; it checks the pair exactly and returns the links that join, fewer than it has components."""
-    floor = similar - 3.5 * math.sqrt(similar * (1 - similar) / k)
     per = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     top = per.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("total"),
                                  F.count(F.lit(1)).alias("parts")).filter("parts > 1")
@@ -222,8 +222,7 @@ def _joining_links(members: DataFrame, payload: DataFrame, similar: float, k: in
             for i in range(len(ids[0])):
                 same = sigs[1] == sigs[0][i]
                 n = len(sets[0][i])
-                near = (same.mean(1) >= floor) & (home[at[1]] != home[at[0][i]]) & (
-                    np.minimum(size, n) >= similar * np.maximum(size, n))
+                near = (home[at[1]] != home[at[0][i]]) & (np.minimum(size, n) >= similar * np.maximum(size, n))
                 near &= same[:, :k // rows * rows].reshape(len(same), -1, rows).all(2).argmax(1) == band
                 for j in np.flatnonzero(near).tolist():
                     p, q = home[at[0][i]], home[at[1][j]]

@@ -247,6 +247,24 @@ def test_near_duplicates_equal_brute_force(spark):
     assert set(kept.values()) == {1} and len(kept) == len({bytes(g["class_key"]) for g in got})
 
 
+def test_pairs_that_share_one_band_only_are_checked(spark):
+    """Similar texts whose signatures agree at 4 of 96 coordinates still meet in the bucket of their band."""
+    r = np.random.default_rng(3)
+    sig = r.integers(1, 1 << 32, (3, dartminhash.K), dtype=np.uint32)
+    sig[:, 4:8] = sig[0, 4:8]
+    docs = spark.createDataFrame([(0, " ".join(f"x{i}" for i in range(60))), (1, " ".join(f"y{i}" for i in range(60))),
+                                  (2, " ".join(f"y{i}" for i in range(1, 60)))], "doc_id bigint, t string")
+    sets = {bytes(row["node"]): bytes(row["cells"]) for row in dartminhash._element_sets(docs, 5).collect()}
+    assert len(sets) == 3
+    payload = [(n, sig[i].tobytes(), c) for i, (n, c) in enumerate(sets.items())]
+    members = spark.createDataFrame([(7, 1, n, n) for n, _, _ in payload], "key bigint, band int, node binary, comp binary")
+    payload = spark.createDataFrame(payload, "node binary, sig binary, cells binary")
+    links = dartminhash._joining_links(members, payload, 0.8, dartminhash.K, dartminhash.ROWS).collect()
+    alike = [n for n, c in sets.items() if any(m != n and dartminhash.weighted_jaccard(c, d) >= 0.8 for m, d in sets.items())]
+    assert len(alike) == 2
+    assert [(bytes(x["a"]), bytes(x["b"])) for x in links] == [(max(alike), min(alike))]
+
+
 def test_near_duplicates_nulls_repeats_and_empty(spark):
     df = spark.createDataFrame([(None, "a b c"), (7, "A b c"), (3, "a b c"), (3, "a b c"), (9, "other words here")],
                                "doc_id bigint, text string")
