@@ -6,8 +6,8 @@ cut into overlapping windows of words; in each window a forward and a backward G
 their states, and a logistic unit scores the window.  A document's score is that of its worst window, so a toxic
 passage shows at any place of any length of text.
 
-Training sees at most ``per_class`` labelled documents of each class of at most ``max_bytes`` bytes (a bounded sample,
-the only texts that come to the driver).  A document's windows share its label through the worst window (multiple
+Training sees at most ``per_class`` labelled documents of each class, whole texts of any length that together hold at most
+``per_class * max_bytes`` bytes (a bounded sample, the only texts that come to the driver).  A document's windows share its label through the worst window (multiple
 instance learning): windows of clean documents are all clean, of a toxic one only the worst is pushed up.
 """
 
@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ._text import Hasher, lower_bytes, mix64, rebuilt, spans, utf8, words
 from .quality import class_weights, held_out, label_sample
 
@@ -251,19 +252,37 @@ def _buffer(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, fold: int = 0,
                  per_class: int = 1200, max_bytes: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> Network:
-    """Train on a bounded sample: at most ``per_class`` documents of each class, texts of at most ``max_bytes`` bytes.
-
-    Null texts are empty; without labelled documents of both classes the network keeps one constant answer."""
-    ids = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
-                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t")).filter(F.octet_length("t") <= max_bytes)
-    # the label sample is drawn among short documents, so candidates are drawn with room to spare
-    sample, sizes = label_sample(labels, label, folds, fold, 4 * per_class)
-    rows = (ids.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "t")
-            .limit(8 * per_class).select("doc_id", "y", "t").toLocalIterator())
-    kept: dict[int, list] = {0: [], 1: []}
+    """Train on a bounded sample of each class: the documents of smallest id hash, at most ``per_class`` of them and at most
+    ``per_class * max_bytes`` bytes in all.  Texts are taken whole; one that does not fit in what is left is passed over.
+
+    Null texts are empty; an id with several texts takes the one of smallest hash.  Without labelled documents of both
+    classes the network keeps one constant answer; a class whose labelled texts all exceed the bound is an error."""
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    bound = per_class * max_bytes
+    texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
+                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
+    lengths = texts.groupBy("doc_id").agg(F.min(F.octet_length("t")).alias("n"))
+    known = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{label}`").alias("y"))
+             .join(lengths, "doc_id")).checkpoint(eager=True)
+    sample, sizes = label_sample(known.filter(F.col("n") <= bound), "y", folds, fold, per_class)
+    if len(sizes) < 2:
+        lost = label_sample(known, "y", folds, fold, per_class)[1].keys() - sizes.keys()
+        if lost:
+            raise ValueError(f"all texts labelled {sorted(lost)} exceed {bound} bytes, the bound of a class's sample")
+    th = F.xxhash64("t")
+    rows = (texts.filter(F.octet_length("t") <= bound).join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "y").agg(F.min(F.struct(th.alias("th"), F.octet_length("t").alias("n"))).alias("m"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", "y", "m.th", "m.n").collect())
+    left, chosen = {0: bound, 1: bound}, []
     for row in rows:
-        if len(kept[row["y"]]) < per_class:
-            kept[row["y"]].append(row["t"])
+        if row["n"] <= left[row["y"]]:
+            left[row["y"]] -= row["n"]
+            chosen.append((row["doc_id"], row["y"], row["th"]))
+    picked = spark.createDataFrame(chosen, "doc_id bigint, y int, th bigint")
+    found = (texts.join(F.broadcast(picked), "doc_id").filter(th == F.col("th")).groupBy("doc_id", "y")
+             .agg(F.min("t").alias("t")).orderBy(F.xxhash64("doc_id"), "doc_id").collect())
+    kept = {c: [r["t"] for r in found if r["y"] == c] for c in (0, 1)}
     texts = kept[0] + kept[1]
     y = np.array([0.0] * len(kept[0]) + [1.0] * len(kept[1]))
     net = Network()

@@ -231,6 +231,26 @@ def test_quality_on_held_out_labels(spark):
     assert accuracy >= 0.95 and got["score"].between(0, 1).all()
 
 
+def test_toxicity_learns_from_a_class_of_long_texts(spark):
+    """All toxic texts are longer than ``max_bytes``; too long for the whole sample is an error."""
+    r = np.random.default_rng(11)
+
+    def text(n, mark):
+        w = [f"word{i}" for i in r.integers(0, 300, n)]
+        for i in range(0, n if mark else 0, 20):
+            w[i] = f"vile{r.integers(0, 5)}"
+        return " ".join(w)
+
+    rows = [(i, text(900, True) if i % 2 else text(120, False)) for i in range(160)]
+    assert min(len(t) for i, t in rows if i % 2) > 6000
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lab = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    got = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, lab, per_class=60)).collect()
+    assert sum(x["predicted"] == x["doc_id"] % 2 for x in got) >= 0.95 * len(got)
+    with pytest.raises(ValueError, match="exceed"):
+        toxicity.fit_toxicity(docs, lab, per_class=1, max_bytes=3000)
+
+
 def test_toxicity_on_held_out_labels(spark):
     accuracy, got = _held_out(spark, "op8_toxicity_gru", "toxic")
     assert accuracy >= 0.9 and got["score"].between(0, 1).all()
