@@ -143,7 +143,7 @@ def sketch(docs: DataFrame, shingle: int = SHINGLE, k: int = K, rows: int = ROWS
 
 
 def _element_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``node, size, cells`` (sorted 32-bit hashes of the weight units, packed) of the given documents."""
+    """``node, size, cells`` (sorted 64-bit hashes of the weight units, packed) of the given documents."""
     def run(batches):
         hasher = Hasher()
         for batch in batches:
@@ -153,9 +153,9 @@ def _element_sets(docs: DataFrame, shingle: int) -> DataFrame:
                 _, _, h, first = words(part, o, hasher)
                 sh, sf = shingles(h, first, shingle)
                 doc, seed = cells(sh, sf)
-                seed = (seed >> np.uint64(32)).astype("<u4")
+                seed = seed.astype("<u8", copy=False)
                 order = np.lexsort((seed, doc))
-                ends = np.cumsum(np.bincount(doc, minlength=j - i)).astype(np.int32) * 4
+                ends = np.cumsum(np.bincount(doc, minlength=j - i)).astype(np.int32) * 8
                 blob = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(np.append(np.int32(0), ends)),
                                                                   pa.py_buffer(seed[order].tobytes())])
                 yield pa.record_batch([_blob(sequence_keys(part, o, h, first)), blob], names=["node", "cells"])
@@ -164,7 +164,7 @@ def _element_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def weighted_jaccard(a: bytes, b: bytes) -> float:
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
     both = np.concatenate([x, y])
     both.sort()
     common = int((both[1:] == both[:-1]).sum())

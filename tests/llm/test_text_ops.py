@@ -247,6 +247,14 @@ def test_near_duplicates_equal_brute_force(spark):
     assert set(kept.values()) == {1} and len(kept) == len({bytes(g["class_key"]) for g in got})
 
 
+def test_long_texts_without_common_words_have_similarity_zero(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"{c}{j}" for j in range(200_000))) for i, c in enumerate("xy")],
+                                 "doc_id bigint, t string")
+    a, b = (bytes(row["cells"]) for row in dartminhash._element_sets(docs, 5).collect())
+    assert dartminhash.weighted_jaccard(a, b) == 0
+    assert dartminhash.weighted_jaccard(a, a) == 1
+
+
 def test_pairs_that_share_one_band_only_are_checked(spark):
     """Similar texts whose signatures agree at 4 of 96 coordinates still meet in the bucket of their band."""
     r = np.random.default_rng(3)
