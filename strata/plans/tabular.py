@@ -465,6 +465,17 @@ def map_per_q(spark, sf):
         e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("mapping"))
 
 
+@query("map_per_order", "A13", sql="""
+SELECT l_orderkey, string_agg(l_linenumber || '=' || n, ',' ORDER BY l_linenumber) AS mapping
+FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
+GROUP BY l_orderkey""")
+def map_per_order_q(spark, sf):
+    li = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
+    pairs = F.array_sort(F.map_entries("mapping"))
+    return A.map_per(li, "l_orderkey", "l_linenumber", "n").select("l_orderkey", F.array_join(F.transform(
+        pairs, lambda e: F.concat_ws("=", e["key"].cast("string"), e["value"].cast("string"))), ",").alias("mapping"))
+
+
 @query("nonzero_cells", "U9", sql="""
 WITH a AS (SELECT l_orderkey, l_linenumber, [l_partkey % 3, l_suppkey % 2, l_linenumber % 2] AS v FROM lineitem)
 SELECT l_orderkey, l_linenumber, CAST(i AS INTEGER) AS pos, CAST(v[i + 1] AS BIGINT) AS v
