@@ -57,6 +57,26 @@ def spans(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, limit: int = PIECE):
+    """:func:`spans`, but a document of more than twice ``limit`` bytes comes in pieces that end behind a byte of
+    ``separator`` (256 flags).  Yields (i, j, bytes, offsets, more): documents [i, j), and whether the last one goes on."""
+    for i, j in spans(offsets, limit):
+        a, b = int(offsets[i]), int(offsets[j])
+        if j - i > 1 or b - a <= 2 * limit:
+            yield i, j, data[a:b], offsets[i:j + 1] - a, False
+            continue
+        while a < b:
+            c = min(a + limit, b)
+            while c < b:
+                found = np.flatnonzero(separator[data[c:c + 65536]])
+                if len(found):
+                    c += int(found[0]) + 1
+                    break
+                c = min(c + 65536, b)
+            yield i, j, data[a:c], np.array([0, c - a]), c < b
+            a = c
+
+
 def powers(n: int, base: int) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64."""
     out = np.full(max(n, 1), base, np.uint64)
@@ -77,6 +97,7 @@ _LOWER[65:91] += 32
 _WORD = np.zeros(256, bool)
 _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = True
 _WORD[0x80:] = True
+WORD_BYTES = _WORD | (_LOWER != np.arange(256))  # before lower-casing
 
 
 class Hasher:

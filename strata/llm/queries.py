@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, dartminhash, decontaminate, quality, segment, sharding, suffix_dedup, tokens, topk, toxicity
+from . import (chat, dartminhash, decontaminate, lexical, quality, segment, sharding, simhash, suffix_dedup, tokens, topk,
+               toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -149,3 +150,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.sample_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
                                         k=2)
+
+
+_TERMS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+         "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op11_presence_masks", f"""
+WITH d AS (SELECT doc_id, {_TERMS.format("text")} AS w FROM documents),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY doc_id, t),
+n AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS.format("text")}) AS t FROM benchmark
+                                       WHERE item_id IS NOT NULL)),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+w AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, total),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t) JOIN n USING (doc_id), total GROUP BY item_id, doc_id)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0)
+WHERE r <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("op12_trie_simhash")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
