@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, dartminhash, decontaminate, lexical, quality, segment, sharding, simhash, suffix_dedup, tokens, topk,
-               toxicity)
+from ..operators.schema import join_null_safe
+
+from . import (chat, dartminhash, decontaminate, lexical, quality, repair, segment, sharding, simhash, suffix_dedup,
+               tokens, topk, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -179,3 +181,94 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_trie_simhash")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({0}) + 1), lambda i: unicode(substr({0}, i, 1))::BIGINT))," \
+       " lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: CASE WHEN x & 1 = 1" \
+       " THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+# cost and audit as one string, so that the least is the cheapest and then the ASCII-least
+_PAY = lambda n, letter, then: f"lpad((left({then}, 9)::BIGINT + {n})::VARCHAR, 9, '0') || '{letter}' || substr({then}, 10)"
+
+
+def _least_sql() -> str:
+    """One step of the audit from the end: ``b0 .. b3`` are the best (cost, audit) of the rest after nothing, s, u, a."""
+    bad = "(fault = 'truncated')::INT"
+    gone = "fault IN ('blank', 'duplicate')"
+    best = []
+    for p in range(4):
+        goal, then = ("a", "b3") if p == 2 else ("u", "b2")
+        ways = [f"CASE WHEN {gone} THEN NULL WHEN initial = '{goal}' THEN {_PAY(bad, 'K', then)} ELSE {_PAY('2 + ' + bad, 'R', then)} END"]
+        if p == 0:
+            ways.append(f"CASE WHEN NOT {gone} AND initial = 's' THEN {_PAY(bad, 'K', 'b1')} END")
+        best.append(f"least({_PAY(3, 'D', f'b{p}')}, {', '.join(ways)}) AS g{p}")
+    return ", ".join(best)
+
+
+@query("op13_grammar_repair", f"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+marked AS (SELECT *, {_CRC.format('k')} % 20 AS m FROM src),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+         CASE m WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM marked, unnest(CASE WHEN m = 3 THEN [0, 1] ELSE [0] END) AS u(copy) WHERE m <> 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+         count(*) OVER (PARTITION BY conv_id) AS n, rtrim(text, {_BLANKS}) AS shown, left(role, 1) AS initial FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN shown = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                 WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) || initial AS pair FROM ranked),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+back AS (
+  SELECT conv_id, n AS pos, '000000000' AS b0, '000000004II' AS b1, '000000002I' AS b2, '000000000' AS b3 FROM judged WHERE pos = n
+  UNION ALL
+  SELECT conv_id, pos, least(g0, {_PAY(2, 'I', 'c2')}), least(g1, {_PAY(2, 'I', 'c2')}), c2, least(g3, {_PAY(2, 'I', 'c2')})
+  FROM (SELECT *, least(g2, {_PAY(2, 'I', 'g3')}) AS c2
+        FROM (SELECT back.conv_id, back.pos - 1 AS pos, {_least_sql()}
+              FROM back JOIN judged ON judged.conv_id IS NOT DISTINCT FROM back.conv_id AND judged.pos = back.pos))),
+found AS (SELECT conv_id, left(b0, 9)::BIGINT AS cost, substr(b0, 10) AS audit FROM back WHERE pos = 0),
+steps AS (
+  SELECT conv_id, i, substr(audit, i, 1) AS e, length(replace(left(audit, i), 'I', '')) AS pos,
+         length(replace(left(audit, i), 'D', '')) AS nth, length(replace(audit, 'D', '')) AS size
+  FROM found, unnest(generate_series(1, length(audit))) AS g(i)),
+fixed AS (
+  SELECT s.conv_id, string_agg(CASE WHEN e = 'K' THEN j.role WHEN (size - nth) % 2 = 0 THEN 'assistant' ELSE 'user' END || ':'
+                               || CASE WHEN e = 'I' THEN '' ELSE j.text END, chr(10) ORDER BY i) AS t
+  FROM steps s LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.pos = s.pos WHERE e <> 'D' GROUP BY s.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN found ON found.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN fixed ON fixed.conv_id IS NOT DISTINCT FROM c.conv_id
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = table(spark, sf_dir, "conversations")
+    space = F.lit(" ")
+    mark = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                            F.coalesce(F.col("turn").cast("string"), space))) % 20
+    text = F.coalesce("text", space)
+    damaged = src.select(
+        "conv_id", "turn", F.when(mark == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(mark == 1, "").when(mark == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(mark == 0, F.array().cast("array<int>")).when(mark == 3, F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("copy"))
+    fixed = repair.repair(damaged)
+    said = F.collect_list(F.struct("seq", F.concat("role", F.lit(":"), "text").alias("t")))
+    digest = (fixed.edits.filter("edit <> 'D'").groupBy("conv_id")
+              .agg(F.array_join(F.transform(F.array_sort(said), lambda r: r["t"]), "\n").alias("t")))
+    out = join_null_safe(src.select("conv_id").distinct(), fixed.audits, ["conv_id"], how="left")
+    out = join_null_safe(out, digest, ["conv_id"], how="left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select("conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.sha2(F.coalesce("t", F.lit("")), 256).alias("repaired_sha256"))
