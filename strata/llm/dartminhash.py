@@ -7,11 +7,11 @@ element alone) fall into the regions; a document keeps those below its weight an
 belongs to one of ``k`` coordinates and the earliest dart of each coordinate is the signature: two signatures agree at
 a coordinate with probability equal to the similarity.
 
-``rows`` coordinates make a band; texts that share a band meet.  In each band bucket every text is checked exactly
-against the bucket's smallest one.  In buckets that the resulting links leave in several components, all pairs of different
-components whose sizes allow the similarity are then checked exactly inside tasks, block against block, and only links
-that join components leave them, so no pair that shares a band is lost to the choice of the representative and none is
-repeated.  Equal word sequences are one node from the start, so copies never make pairs.
+``rows`` coordinates make a band; texts that share a band meet.  Every text is checked exactly against the smallest one
+that it meets.  In buckets that the resulting links leave in several components, all pairs of different components whose
+sizes allow the similarity are then checked exactly inside tasks, block against block, each pair of blocks once for all
+bands, and only links that join components leave them, so no pair that shares a band is lost to the choice of the
+representative and no element set travels once per band.  Equal word sequences are one node from the start, so copies never make pairs.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.windows import running_sum_within
 from ..session import ensure_checkpoint_dir
-from ._text import Hasher, lower_bytes, mix64, powers, shingles, spans, uniform, utf8, words
+from ._text import Hasher, mix64, powers, shingles, spans, uniform, utf8, words
 from .links import components, filtered, key_bitmap
 from .tokens import scratch
 
@@ -136,7 +137,7 @@ def sketch(docs: DataFrame, shingle: int = SHINGLE, k: int = K, rows: int = ROWS
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()),
                                                  pa.array(bands[~empty].ravel().view(np.int64)))
                 yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i),
-                                       _blob(sequence_keys(lower_bytes(part) if not empty.any() else part, o, h, first)),
+                                       _blob(sequence_keys(part, o, h, first)),
                                        _blob(sig), lists], names=["doc_id", "th", "node", "sig", "bands"])
 
     return docs.mapInArrow(run, "doc_id bigint, th bigint, node binary, sig binary, bands array<bigint>")
@@ -188,52 +189,82 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _joining_links(members: DataFrame, payload: DataFrame, similar: float, k: int, rows: int, block: int = 2048) -> DataFrame:
-    """Links (a, b) that join different components inside a bucket.
-
-    ``members``: key, band, node, comp; ``payload``: node, sig, cells, attached last so that it travels once to each
-    side.  Members outside the bucket's largest component meet all others;
-    large buckets are cut into blocks and only pairs of blocks meet in a task.  A task takes up a pair only in the first
-    band that the two share, only if their sizes allow the similarity, and only while the links found so far leave their
-    components apart; it checks the pair exactly and returns the links that join, fewer than it has components."""
-    per = members.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    top = per.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.sum("n").alias("total"),
-                                 F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    x = members.join(top, "key")
-    blocks = F.ceil(F.col("total") / block).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1))
-    cols = ["key", "band", "node", "comp"]
-    loose = x.filter(F.col("comp") != F.col("main")).select(*cols, own.alias("lb"), every.alias("rb"))
-    others = x.join(loose.select("key", "lb").distinct(), "key").select(*cols, "lb", own.alias("rb"))
-    loose, others = loose.join(payload, "node"), others.join(payload, "node")
+def _blocks(members: DataFrame, size: DataFrame, room: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes dealt into blocks of about ``room`` bytes: (``node, owner, block``; pairs of blocks ``owner, lb, rb``).
+
+    Buckets that share nodes form a group.  Small groups are packed together by hash; the nodes of a larger one are taken
+    in the order of their component's least bucket, and two of its blocks meet only if they share a bucket and do not
+    both lie in one component.  A node counts as ``least`` bytes at least."""
+    star = members.groupBy("key").agg(F.min("node").alias("b"))
+    group = components(members.join(star, "key").select(F.col("node").alias("a"), "b")).select("node", F.col("comp").alias("grp"))
+    low = members.groupBy("comp").agg(F.min("key").alias("low"))
+    x = (members.select("node", "comp").distinct().join(low, "comp").join(group, "node").join(size, "node")
+         .withColumn("weight", F.greatest("bytes", F.lit(least)).cast("bigint")))
+    total = x.groupBy("grp").agg(F.sum("weight").alias("total"))
+    x = x.join(total, "grp").checkpoint(eager=True)
+    few, many = x.filter(F.col("total") <= room), x.filter(F.col("total") > room)
+    packs = -(-int(few.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]) // room) or 1
+    pack = F.pmod(F.xxhash64("grp"), F.lit(packs)).cast("bigint")
+    none = F.lit(b"")
+    dealt = few.select("node", "comp", none.alias("owner"), pack.alias("block"))
+    pairs = dealt.select("owner", F.col("block").alias("lb"), F.col("block").alias("rb")).distinct()
+    if not many.isEmpty():
+        many = running_sum_within(many.withColumn("place", F.struct("low", "comp", "node")), ["grp"], "place", "weight", "before")
+        many = many.select("node", "comp", F.col("grp").alias("owner"), F.floor(F.col("before") / room).alias("block")).checkpoint(eager=True)
+        dealt = dealt.unionByName(many)
+        at = members.join(many.select("node", "owner", "block"), "node").select("key", "owner", "block").distinct()
+        met = at.withColumnRenamed("block", "lb").join(at.withColumnRenamed("block", "rb"), ["key", "owner"]).filter("lb <= rb")
+        span = many.groupBy("owner", "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        met = met.select("owner", "lb", "rb").distinct()
+        for side in ("lb", "rb"):
+            met = met.join(span.select("owner", F.col("block").alias(side), F.col("lo").alias(f"lo_{side}"), F.col("hi").alias(f"hi_{side}")),
+                           ["owner", side])
+        one = (F.col("lo_lb") == F.col("hi_lb")) & (F.col("lo_rb") == F.col("hi_rb")) & (F.col("lo_lb") == F.col("lo_rb"))
+        pairs = pairs.unionByName(met.filter(~one).select("owner", "lb", "rb"))
+    return dealt.checkpoint(eager=True), pairs.checkpoint(eager=True)
+
+
+def _joining_links(members: DataFrame, payload: DataFrame, similar: float, k: int, rows: int, room: int = 1 << 22,
+                   least: int = 1 << 13) -> DataFrame:
+    """Links (a, b) that join different components inside buckets.
+
+    ``members``: key, node, comp of the buckets that lie in several components; ``payload``: node, sig, cells.  Nodes go
+    into blocks of bounded bytes (and at most ``room / least`` nodes) and two blocks meet once, for all bands.  A task
+    takes up a pair only if its signatures share a band, its sizes allow the similarity and the links found so far leave
+    its components apart; it checks the pair exactly and returns the links that join, fewer than it has components."""
+    dealt, pairs = _blocks(members, payload.select("node", F.length("cells").alias("bytes")), room, least)
+    whole = dealt.join(payload, "node")
+    left = whole.join(pairs.withColumn("block", F.col("lb")), ["owner", "block"]).drop("block")
+    right = whole.join(pairs.filter("lb <> rb").withColumn("block", F.col("rb")), ["owner", "block"]).drop("block")
+    bands = k // rows
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         a, b = [], []
-        if left.num_rows and right.num_rows:
-            left = left.rename_columns([c.removeprefix("l_") for c in left.column_names])
-            band = left.column("band")[0].as_py()
-            ids, comps, sets = ([t.column(c).to_pylist() for t in (left, right)] for c in ("node", "comp", "cells"))
-            sigs = [np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(-1, k) for t in (left, right)]
-            number = {c: i for i, c in enumerate(sorted({*comps[0], *comps[1]}))}
-            home = np.arange(len(number))  # component number -> joined component, kept flat
-            at = [np.array([number[c] for c in x]) for x in comps]
-            size = np.array([len(x) for x in sets[1]])
-            for i in range(len(ids[0])):
-                same = sigs[1] == sigs[0][i]
-                n = len(sets[0][i])
-                near = (home[at[1]] != home[at[0][i]]) & (np.minimum(size, n) >= similar * np.maximum(size, n))
-                near &= same[:, :k // rows * rows].reshape(len(same), -1, rows).all(2).argmax(1) == band
-                for j in np.flatnonzero(near).tolist():
-                    p, q = home[at[0][i]], home[at[1][j]]
-                    if p != q and weighted_jaccard(sets[0][i], sets[1][j]) >= similar:
-                        home[home == p] = q
-                        a.append(max(ids[0][i], ids[1][j]))
-                        b.append(min(ids[0][i], ids[1][j]))
+        both = [left] + ([right.rename_columns(left.column_names)] if right.num_rows else [])
+        if left.num_rows:
+            ids, comps, sets = ([x for t in both for x in t.column(c).to_pylist()] for c in ("l_node", "l_comp", "l_cells"))
+            sig = np.frombuffer(b"".join(x for t in both for x in t.column("l_sig").to_pylist()), np.uint32).reshape(-1, k)
+            sig = np.ascontiguousarray(sig[:, :bands * rows]).reshape(-1, bands, rows)
+            _, at = np.unique(np.array([c.hex() for c in comps]), return_inverse=True)
+            home = np.arange(at.max() + 1)  # component number -> joined component, kept flat
+            size = np.array([len(x) for x in sets])
+            n = left.num_rows
+            for i in range(n):
+                j = np.arange(i + 1, n) if len(both) == 1 else np.arange(n, len(ids))
+                j = j[(home[at[j]] != home[at[i]]) & (np.minimum(size[j], size[i]) >= similar * np.maximum(size[j], size[i]))]
+                if not len(j):
+                    continue
+                j = j[(sig[j] == sig[i]).all(2).any(1)]
+                for q in j.tolist():
+                    x, y = home[at[i]], home[at[q]]
+                    if x != y and weighted_jaccard(sets[i], sets[q]) >= similar:
+                        home[home == y] = x
+                        a.append(max(ids[i], ids[q]))
+                        b.append(min(ids[i], ids[q]))
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    loose = loose.select(*[F.col(c).alias(f"l_{c}") for c in loose.columns])  # both sides come from one table
-    return loose.groupBy("l_key", "l_lb", "l_rb").cogroup(others.groupBy("key", "lb", "rb")).applyInArrow(
+    left = left.select(*[F.col(c).alias(f"l_{c}") for c in right.columns])  # both sides come from one table
+    return left.groupBy("l_owner", "l_lb", "l_rb").cogroup(right.groupBy("owner", "lb", "rb")).applyInArrow(
         run, "a binary, b binary").distinct()
 
 
@@ -258,12 +289,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = raw.groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.first("sig").alias("sig"),
                                     F.first("bands").alias("bands")).checkpoint(eager=True)
     bands = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = bands.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top"), F.count(F.lit(1)).alias("n"))
+    buckets = bands.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n"))
     buckets = buckets.filter("n > 1").checkpoint(eager=True)
-    crowded = buckets.filter("n > 2")
-    pairs = (buckets.select(F.col("top").alias("a"), "b")
-             .unionByName(bands.join(crowded.select("key", "b"), "key").filter(F.col("node") != F.col("b"))
-                          .select(F.col("node").alias("a"), "b")).distinct()).checkpoint(eager=True)
+    # every node is checked against one other, the smallest one that shares a bucket with it
+    pairs = (bands.join(buckets.select("key", "b"), "key").groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b"))
+             .filter("a <> b")).checkpoint(eager=True)
     # the texts of nodes in pairs: a bounded bitmap spares most others the shuffle, the join decides
     met = bands.join(buckets.select("key"), "key", "left_semi").select("node").distinct()
     reps = met.join(nodes.select("node", "rep"), "node").select(
@@ -277,8 +307,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = _verified(pairs, sets, similar).checkpoint(eager=True)
     comp = components(links)
     # buckets that the links leave in several components
-    members = (bands.join(crowded.select("key"), "key").join(comp, "node", "left")
-               .select("key", "band", "node", F.coalesce("comp", "node").alias("comp"))).checkpoint(eager=True)
+    members = (bands.join(buckets.select("key"), "key").join(comp, "node", "left")
+               .select("key", "node", F.coalesce("comp", "node").alias("comp"))).checkpoint(eager=True)
     split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     open_ones = members.join(split.select("key"), "key").checkpoint(eager=True)
     payload = nodes.select("node", "sig").join(sets, "node")

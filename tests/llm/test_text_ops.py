@@ -273,6 +273,38 @@ def test_pairs_that_share_one_band_only_are_checked(spark):
     assert [(bytes(x["a"]), bytes(x["b"])) for x in links] == [(max(alike), min(alike))]
 
 
+@pytest.mark.parametrize("room", [1 << 22, 3000])
+def test_crowded_buckets_meet_block_by_block(spark, room):
+    """Components of the links equal those of all similar pairs that share a band, however small the blocks are."""
+    from strata.llm.links import components
+
+    r = random.Random(room)
+    texts = []
+    for group in range(3):
+        base = [f"g{group}x{i}" for i in range(60)]
+        for _ in range(25):
+            copy = list(base)
+            for _ in range(r.randrange(4)):
+                copy[r.randrange(60)] = f"z{r.randrange(500)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(dict.fromkeys(texts))), "doc_id bigint, t string").withColumn("th", F.xxhash64("t"))
+    rows = dartminhash.sketch(docs).collect()
+    sets = {bytes(x["node"]): bytes(x["cells"]) for x in dartminhash._element_sets(docs.select("doc_id", "t"), 5).collect()}
+    payload = spark.createDataFrame([(bytes(x["node"]), bytes(x["sig"]), sets[bytes(x["node"])]) for x in rows],
+                                    "node binary, sig binary, cells binary")
+    at = {}
+    for x in rows:
+        for key in x["bands"]:
+            at.setdefault(key, []).append(bytes(x["node"]))
+    members = spark.createDataFrame([(k, n, n) for k, ns in at.items() if len(ns) > 1 for n in ns], "key bigint, node binary, comp binary")
+    links = dartminhash._joining_links(members, payload, 0.8, dartminhash.K, dartminhash.ROWS, room=room, least=1)
+    pairs = {(max(a, b), min(a, b)) for ns in at.values() for a in ns for b in ns
+             if a != b and dartminhash.weighted_jaccard(sets[a], sets[b]) >= 0.8}
+    assert {(bytes(x["a"]), bytes(x["b"])) for x in links.collect()} <= pairs
+    want = components(spark.createDataFrame(list(pairs), "a binary, b binary")).collect()
+    assert {tuple(map(bytes, x)) for x in components(links).collect()} == {tuple(map(bytes, x)) for x in want} and len(want) > 10
+
+
 def test_near_duplicates_nulls_repeats_and_empty(spark):
     df = spark.createDataFrame([(None, "a b c"), (7, "A b c"), (3, "a b c"), (3, "a b c"), (9, "other words here")],
                                "doc_id bigint, text string")
