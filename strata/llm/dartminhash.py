@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.windows import running_sum_within
 from ..session import ensure_checkpoint_dir
 from ._text import Hasher, mix64, powers, shingles, spans, uniform, utf8, words
-from .links import components, filtered, key_bitmap
+from .links import components, few, filtered, key_bitmap
 from .tokens import scratch
 
 K, ROWS, SHINGLE, SIMILAR = 96, 4, 5, 0.8
@@ -201,7 +201,8 @@ def _blocks(members: DataFrame, size: DataFrame, room: int, least: int) -> tuple
     x = (members.select("node", "comp").distinct().join(low, "comp").join(group, "node").join(size, "node")
          .withColumn("weight", F.greatest("bytes", F.lit(least)).cast("bigint")))
     total = x.groupBy("grp").agg(F.sum("weight").alias("total"))
-    x = x.join(total, "grp").checkpoint(eager=True)
+    parts = few(members.count(), members.sparkSession)
+    x = x.join(total, "grp").coalesce(parts).checkpoint(eager=True)
     few, many = x.filter(F.col("total") <= room), x.filter(F.col("total") > room)
     packs = -(-int(few.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]) // room) or 1
     pack = F.pmod(F.xxhash64("grp"), F.lit(packs)).cast("bigint")
@@ -221,7 +222,7 @@ def _blocks(members: DataFrame, size: DataFrame, room: int, least: int) -> tuple
                            ["owner", side])
         one = (F.col("lo_lb") == F.col("hi_lb")) & (F.col("lo_rb") == F.col("hi_rb")) & (F.col("lo_lb") == F.col("lo_rb"))
         pairs = pairs.unionByName(met.filter(~one).select("owner", "lb", "rb"))
-    return dealt.checkpoint(eager=True), pairs.checkpoint(eager=True)
+    return dealt.coalesce(parts).checkpoint(eager=True), pairs.coalesce(parts).checkpoint(eager=True)
 
 
 def _joining_links(members: DataFrame, payload: DataFrame, similar: float, k: int, rows: int, room: int = 1 << 22,
@@ -291,12 +292,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = bands.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n"))
     buckets = buckets.filter("n > 1").checkpoint(eager=True)
+    met = bands.join(buckets.select("key", "b"), "key").select("key", "node", "b").checkpoint(eager=True)
     # every node is checked against one other, the smallest one that shares a bucket with it
-    pairs = (bands.join(buckets.select("key", "b"), "key").groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b"))
-             .filter("a <> b")).checkpoint(eager=True)
+    pairs = met.groupBy(F.col("node").alias("a")).agg(F.min("b").alias("b")).checkpoint(eager=True)
     # the texts of nodes in pairs: a bounded bitmap spares most others the shuffle, the join decides
-    met = bands.join(buckets.select("key"), "key", "left_semi").select("node").distinct()
-    reps = met.join(nodes.select("node", "rep"), "node").select(
+    reps = pairs.select(F.col("a").alias("node")).join(nodes.select("node", "rep"), "node").select(
         F.col("rep.doc_id").alias("rd"), F.col("rep.th").alias("rt")).checkpoint(eager=True)
     likely = filtered(x.select("doc_id", "t", "th", F.xxhash64("th").alias("hh")), "hh",
                       key_bitmap(reps.filter("rt is not null"), "rt"))
@@ -304,13 +304,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place = scratch(spark, "elements")
     _element_sets(chosen.select("doc_id", "t"), shingle).dropDuplicates(["node"]).write.parquet(place)
     sets = spark.read.parquet(place)
-    links = _verified(pairs, sets, similar).checkpoint(eager=True)
+    links = _verified(pairs.filter("a <> b"), sets, similar).checkpoint(eager=True)
     comp = components(links)
     # buckets that the links leave in several components
-    members = (bands.join(buckets.select("key"), "key").join(comp, "node", "left")
-               .select("key", "node", F.coalesce("comp", "node").alias("comp"))).checkpoint(eager=True)
+    members = (met.join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))).checkpoint(eager=True)
     split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    open_ones = members.join(split.select("key"), "key").checkpoint(eager=True)
+    open_ones = members.join(split.select("key"), "key")
+    open_ones = open_ones.coalesce(few(open_ones.count(), spark)).checkpoint(eager=True)
     payload = nodes.select("node", "sig").join(sets, "node")
     links = links.unionByName(_joining_links(open_ones, payload, similar, k, rows).checkpoint(eager=True))
     comp = components(links)

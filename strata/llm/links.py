@@ -9,25 +9,37 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+PER_TASK = 1 << 18
+
+
+def few(rows: int, spark) -> int:
+    """Partitions for a table of so many short rows."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PER_TASK)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, comp`` of every node in ``edges`` (columns a, b): ``comp`` is the smallest node of its component.
 
     Alternating large-star and small-star steps, each a grouped minimum and a join; every round is checkpointed and
-    the driver sees only a count and a checksum.  A hub is never gathered: its edges stay rows."""
-    ensure_checkpoint_dir(edges.sparkSession)
+    the driver sees only a count and a checksum.  A hub is never gathered: its edges stay rows.  Tasks and files of a
+    round follow the number of edges, so that a small graph does not cost a full set of both per step."""
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    parts = few(edges.count(), spark)
     e = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    e = e.distinct().checkpoint(eager=True)
+    e = e.coalesce(parts).distinct().coalesce(parts).checkpoint(eager=True)
     mark = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = (both.join(low, "u").filter(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter(F.col("u") != F.col("v"))
+                 .coalesce(parts).distinct().coalesce(parts))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         e = (small.filter(F.col("v") != F.col("m"))
              .select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-             .unionByName(small.select("u", F.col("m").alias("v"))).distinct()).checkpoint(eager=True)
+             .unionByName(small.select("u", F.col("m").alias("v"))).coalesce(parts).distinct().coalesce(parts)).checkpoint(eager=True)
         state = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == (state["n"], state["h"]):
             break
