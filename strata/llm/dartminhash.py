@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.windows import running_sum_within
 from ..session import ensure_checkpoint_dir
 from ._text import Hasher, mix64, powers, shingles, spans, uniform, utf8, words
-from .links import components, few, filtered, key_bitmap
+from .links import components, filtered, key_bitmap, tasks_for
 from .tokens import scratch
 
 K, ROWS, SHINGLE, SIMILAR = 96, 4, 5, 0.8
@@ -201,7 +201,7 @@ def _blocks(members: DataFrame, size: DataFrame, room: int, least: int) -> tuple
     x = (members.select("node", "comp").distinct().join(low, "comp").join(group, "node").join(size, "node")
          .withColumn("weight", F.greatest("bytes", F.lit(least)).cast("bigint")))
     total = x.groupBy("grp").agg(F.sum("weight").alias("total"))
-    parts = few(members.count(), members.sparkSession)
+    parts = tasks_for(members.count(), members.sparkSession)
     x = x.join(total, "grp").coalesce(parts).checkpoint(eager=True)
     few, many = x.filter(F.col("total") <= room), x.filter(F.col("total") > room)
     packs = -(-int(few.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]) // room) or 1
@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = (met.join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))).checkpoint(eager=True)
     split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     open_ones = members.join(split.select("key"), "key")
-    open_ones = open_ones.coalesce(few(open_ones.count(), spark)).checkpoint(eager=True)
+    open_ones = open_ones.coalesce(tasks_for(open_ones.count(), spark)).checkpoint(eager=True)
     payload = nodes.select("node", "sig").join(sets, "node")
     links = links.unionByName(_joining_links(open_ones, payload, similar, k, rows).checkpoint(eager=True))
     comp = components(links)

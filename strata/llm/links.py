@@ -12,7 +12,7 @@ from ..session import ensure_checkpoint_dir
 PER_TASK = 1 << 18
 
 
-def few(rows: int, spark) -> int:
+def tasks_for(rows: int, spark) -> int:
     """Partitions for a table of so many short rows."""
     return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PER_TASK)))
 
@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     round follow the number of edges, so that a small graph does not cost a full set of both per step."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = few(edges.count(), spark)
+    parts = tasks_for(edges.count(), spark)
     e = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     e = e.coalesce(parts).distinct().coalesce(parts).checkpoint(eager=True)
     mark = None
