@@ -3,7 +3,7 @@ column expressions: every per-row lambda of the reference is one of these).
 
 All are built-in Spark expressions (JVM side, code-generated); no Python UDF.
 Regex notes: Python's ``\\w`` is Unicode while Java's is ASCII, so word characters are
-written ``[\\p{L}\\p{N}_]``; Python's ``strip()`` is ``^\\s+|\\s+$``.
+written ``[\\p{L}\\p{N}_]``; Python's ``strip()`` is ``btrim`` over its white space.
 """
 
 from __future__ import annotations
@@ -37,13 +37,13 @@ def extract(col, pattern: str, group: int = 1) -> Column:
 
 
 # The characters Python's str.strip() removes.
-_SPACES = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-SPACE_ENDS = rf"\A{_SPACES}+|{_SPACES}+\z"
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+          "\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip(col) -> Column:
     """Python ``str.strip()``: leading / trailing white space removed, Unicode spaces included."""
-    return F.regexp_replace(_c(col), SPACE_ENDS, "")
+    return F.btrim(_c(col), F.lit(SPACES))
 
 
 def _rules(col: Column, rules: Sequence[tuple[str, str]]) -> Column:

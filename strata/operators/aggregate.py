@@ -10,6 +10,7 @@ window would sort an entire hot group inside one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -256,42 +257,102 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
         for i in range(len(probs))])
 
 
+def narrowed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], room: int = 1 << 18,
+                       rounds: int = 5) -> dict[str, list[float | None]]:
+    """Exact quantiles (numpy's linear interpolation) of many columns at once: ``{column: [one per prob]}``.
+
+    Every wanted rank of every column lies in a known interval.  One pass over the table cuts all open intervals into
+    cells and counts them together (map-side combined, ``room`` cells in all); each rank goes on with the least and
+    greatest value of its cell, and is found when they are equal.  The first pass gives counts and extremes.  Most data
+    need two or three passes; values so unevenly spaced that ``rounds`` do not end are finished by
+    :func:`exact_quantiles` within the interval.  The driver sees at most ``room`` counts a pass.  NaN counts as the largest
+    value, nulls are left out; a column without values has None."""
+    v = {c: F.col(_q(c)).cast("double") for c in cols}
+    finite = {c: F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x) for c, x in v.items()}
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs += [F.count(v[c]).alias(f"n{i}"), F.count(finite[c]).alias(f"f{i}"), F.min(finite[c]).alias(f"a{i}"),
+                 F.max(finite[c]).alias(f"b{i}"), F.count_if(v[c] == float("-inf")).alias(f"l{i}"), F.count_if(F.isnan(v[c])).alias(f"x{i}")]
+    if not cols:
+        return {}
+    first = df.agg(*aggs).first()
+    found: dict[tuple[int, int], float] = {}
+    todo: dict[tuple[int, int], tuple[float, float, int]] = {}  # (column, rank) -> interval, values below it
+    for i in range(len(cols)):
+        n, low, nan = first[f"n{i}"], first[f"l{i}"], first[f"x{i}"]
+        for p in probs:
+            for rank in {math.floor(p * (n - 1)), math.ceil(p * (n - 1))} if n else ():
+                if rank < low:
+                    found[i, rank] = float("-inf")
+                elif rank >= low + first[f"f{i}"]:
+                    found[i, rank] = float("nan") if rank >= n - nan else float("inf")
+                else:
+                    todo[i, rank] = (first[f"a{i}"], first[f"b{i}"], low)
+    for _ in range(rounds):
+        for key in [k for k, (a, b, _) in todo.items() if a == b]:
+            found[key] = todo.pop(key)[0]
+        if not todo:
+            break
+        spans = sorted({(i, a, b) for (i, _), (a, b, _) in todo.items()})
+        n_cells = max(2, room // len(spans))
+        parts = []
+        for s, (i, a, b) in enumerate(spans):
+            x = finite[cols[i]]
+            at = F.floor((x * 0.5 - a * 0.5) / (b * 0.5 - a * 0.5) * n_cells)
+            cell = F.least(F.greatest(at, F.lit(0)), F.lit(n_cells - 1)).cast("int")
+            parts.append(F.when((x >= a) & (x <= b), F.struct(F.lit(s).alias("s"), cell.alias("c"), x.alias("v"))))
+        got = (df.select(F.explode(F.array_compact(F.array(*parts))).alias("p")).groupBy("p.s", "p.c")
+               .agg(F.count(F.lit(1)).alias("n"), F.min("p.v").alias("lo"), F.max("p.v").alias("hi")).toPandas().sort_values(["s", "c"]))
+        number = {span: s for s, span in enumerate(spans)}
+        per = {s: g for s, g in got.groupby("s")}
+        for (i, rank), (a, b, below) in list(todo.items()):
+            g = per[number[i, a, b]]
+            ends = below + g["n"].cumsum().to_numpy()
+            at = int((ends <= rank).sum())
+            todo[i, rank] = (float(g["lo"].iloc[at]), float(g["hi"].iloc[at]), int(ends[at] - g["n"].iloc[at]))
+    for (i, rank), (a, b, below) in todo.items():
+        inside = df.select(finite[cols[i]].alias("v")).filter((F.col("v") >= a) & (F.col("v") <= b))
+        n = inside.count()
+        found[i, rank] = a if n == 1 else exact_quantiles(inside, "v", [(rank - below) / (n - 1)]).first()[0]
+    out = {}
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
+        out[c] = []
+        for p in probs:
+            q = p * (n - 1)
+            lo, hi = (found[i, math.floor(q)], found[i, math.ceil(q)]) if n else (None, None)
+            out[c].append(lo + (q - math.floor(q)) * (hi - lo) if n else None)
+    return out
+
+
 def profile(df: DataFrame, cols: Iterable[str] | None = None, approx: bool = False) -> DataFrame:
     """Describe + info in long form: one row per column with type, non-null count,
     mean, sample std, min, quartiles (linear interpolation) and max.
 
-    Counts, moments and extremes are one aggregate.  Quartiles are exact by ranking
-    (:func:`exact_quantiles`, no per-value state in one task), each column's attached as a
-    scalar subquery; ``approx=True`` uses the bounded ``percentile_approx`` in the same
-    aggregate instead.
+    Counts, moments and extremes are one aggregate.  Quartiles are exact, of all columns in the same few passes
+    (:func:`narrowed_quantiles`); ``approx=True`` uses the bounded ``percentile_approx`` in the aggregate instead.
     """
     fields = [f for f in df.schema.fields if (cols is None or f.name in set(cols))]
-    aggs, rows, quart = [], [], {}
+    numeric = {f.name for f in fields if isinstance(f.dataType, T.NumericType) and not isinstance(f.dataType, T.DecimalType)}
+    exact = {} if approx else narrowed_quantiles(df, [f.name for f in fields if f.name in numeric], [0.25, 0.5, 0.75])
+    aggs, rows = [], []
+    nul = F.lit(None).cast("double")
     for i, f in enumerate(fields):
         c = F.col(_q(f.name))
-        numeric = isinstance(f.dataType, T.NumericType) and not isinstance(f.dataType, T.DecimalType)
         aggs.append(F.count(c).alias(f"n{i}"))
-        if numeric:
-            d = c.cast("double")
+        d = c.cast("double") if f.name in numeric else nul
+        q = [nul] * 3
+        if f.name in numeric:
             aggs += [F.avg(d).alias(f"m{i}"), F.stddev_samp(d).alias(f"s{i}"), F.min(d).alias(f"lo{i}"),
                      F.max(d).alias(f"hi{i}")]
             if approx:
                 aggs.append(F.percentile_approx(d, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
-                quart[i] = F.col(f"q{i}")
-            else:
-                qs = exact_quantiles(df, f.name, [0.25, 0.5, 0.75])
-                quart[i] = qs.select(F.array("__q0", "__q1", "__q2")).scalar()
-            rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
-                                 F.col(f"n{i}").alias("non_null"), F.col(f"m{i}").alias("mean"),
-                                 F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"),
-                                 quart[i][0].alias("p25"), quart[i][1].alias("p50"),
-                                 quart[i][2].alias("p75"), F.col(f"hi{i}").alias("max")))
-        else:
-            nul = F.lit(None).cast("double")
-            rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
-                                 F.col(f"n{i}").alias("non_null"), nul.alias("mean"), nul.alias("std"),
-                                 nul.alias("min"), nul.alias("p25"), nul.alias("p50"), nul.alias("p75"),
-                                 nul.alias("max")))
+            q = [F.col(f"q{i}")[j] if approx else F.lit(exact[f.name][j]).cast("double") for j in range(3)]
+        stat = lambda name, i=i, f=f: F.col(f"{name}{i}") if f.name in numeric else nul
+        rows.append(F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
+                             F.col(f"n{i}").alias("non_null"), stat("m").alias("mean"), stat("s").alias("std"),
+                             stat("lo").alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
+                             stat("hi").alias("max")))
     return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
@@ -372,10 +433,14 @@ def clip_scale(df: DataFrame, value: str, by=None, lower: float = 0.1, upper: fl
         q = F.percentile_approx(v, [lower / 100, upper / 100], 100000)
         stats = (df.groupBy(*[_q(b) for b in by]).agg(q.alias("__q"))
                  .select(*[_q(b) for b in by], F.col("__q")[0].alias("__lo"), F.col("__q")[1].alias("__hi")))
+    elif not by:
+        lo, hi = narrowed_quantiles(df, [value], [lower / 100, upper / 100])[value]
+        stats = None
+        j = df.withColumns({"__lo": F.lit(lo).cast("double"), "__hi": F.lit(hi).cast("double")})
     else:
         stats = exact_quantiles(df, value, [lower / 100, upper / 100], by, prefix="__p").select(
             *[_q(b) for b in by], F.col("__p0").alias("__lo"), F.col("__p1").alias("__hi"))
-    j = _attach(df, stats, by)
+    j = _attach(df, stats, by) if stats is not None else j
     clipped = F.least(F.greatest(v, F.col("__lo")), F.col("__hi"))
     span = F.col("__hi") - F.col("__lo")
     scaled = F.when(span > 0, ((clipped - F.col("__lo")) / span * 255).cast("int")).otherwise(F.lit(0))
@@ -437,7 +502,7 @@ def complete_groups(df: DataFrame, key: str, sub: str, expected: Mapping[str, in
     per_key = (per_sub.groupBy(_q(key))
                .agg(F.bool_and(F.col("__n") == exp_col).alias("__ok"), F.sum("__n").alias("__tot")))
     good = per_key.filter(F.col("__ok") & (F.lit(True) if total is None else (F.col("__tot") == total)))
-    return df.join(good.select(_q(key)), on=key, how="left_semi")
+    return join_null_safe(df, good.select(_q(key)), [key], "left_semi")
 
 
 def split_stacks(df: DataFrame, series: str | Sequence[str], orientation: str, alias: str = "stack") -> DataFrame:

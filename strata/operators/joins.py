@@ -12,14 +12,22 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .schema import _q
+from .schema import _q, join_null_safe
 
 def left_join_suffixed(left: DataFrame, right: DataFrame, on: str | Sequence[str], suffix: str) -> DataFrame:
     """Left join keeping all left rows; right-side names that collide with a left
-    name get ``suffix`` (like a ``_{i}`` join suffix)."""
+    name get ``suffix`` (like a ``_{i}`` join suffix), once more for as long as either side has the suffixed name."""
     on = [on] if isinstance(on, str) else list(on)
     taken = set(left.columns)
-    ren = {c: f"{c}{suffix}" for c in right.columns if c not in on and c in taken}
+    ren = {}
+    used = taken | set(right.columns)
+    for c in right.columns:
+        if c not in on and c in taken:
+            name = f"{c}{suffix}"
+            while name in used:
+                name += suffix
+            used.add(name)
+            ren[c] = name
     r = right.withColumnsRenamed(ren) if ren else right
     return left.join(r, on=on, how="left")
 
@@ -76,6 +84,54 @@ def match_points(points: DataFrame, volumes: DataFrame, study: str = "study_id",
     return points.join(volumes, on=keys, how="inner")
 
 
+def points_in_boxes(points: DataFrame, boxes: DataFrame, study: str, xyz: Sequence[str], lo: Sequence[str],
+                    hi: Sequence[str]) -> DataFrame:
+    """J8 (bounded form): every pair of a point and a box of its study that holds it, bounds included; columns of the
+    point, then the other columns of the box.
+
+    A spatial cell join.  Cells of level n have edges of 2^n; a box lies on the level whose edge is its longest side or
+    the next above, so it touches at most two cells an axis, eight in three dimensions.  A point lies in one cell of each
+    level that some box uses.  Points and boxes meet by (study, level, cell) and the exact bounds decide, so a study is
+    never gathered: a hot one is spread over its cells.  Points and boxes with a null or NaN coordinate or a null study
+    are in no pair; a box with ``hi < lo`` holds nothing."""
+    d = range(len(xyz))
+    edge = F.greatest(*[F.col(_q(hi[i])).cast("double") - F.col(_q(lo[i])).cast("double") for i in d])
+    level = F.when(edge > 0, F.greatest(F.ceil(F.log2(edge)).cast("int"), F.lit(-60))).otherwise(F.lit(-60))
+    whole = None
+    for i in d:
+        a, b = F.col(_q(lo[i])).cast("double"), F.col(_q(hi[i])).cast("double")
+        ok = (a <= b) & ~F.isnan(b) & (F.abs(a) < 1e300) & (F.abs(b) < 1e300)
+        whole = ok if whole is None else whole & ok
+    cell = lambda c, lev: F.floor(c.cast("double") / F.pow(F.lit(2.0), lev)).cast("double")
+    cells = boxes.filter(whole).withColumn("__level", level)
+    levels = cells.select(F.array_sort(F.collect_set("__level"))).scalar()  # at most one per power of two
+    for i in d:
+        a, b = cell(F.col(_q(lo[i])), F.col("__level")), cell(F.col(_q(hi[i])), F.col("__level"))
+        cells = cells.withColumn(f"__c{i}", F.explode(F.when(a == b, F.array(a)).otherwise(F.array(a, b))))
+    keep = [c for c in boxes.columns if c != study]
+    cells = cells.select(F.col(_q(study)).alias("__study"), "__level", *[f"__c{i}" for i in d], *[F.col(_q(c)) for c in keep])
+    at = points.withColumn("__level", F.explode(levels))
+    for i in d:
+        at = at.withColumn(f"__p{i}", cell(F.col(_q(xyz[i])), F.col("__level")))
+    on = (F.col(_q(study)) == F.col("__study")) & (at["__level"] == cells["__level"])
+    for i in d:
+        on &= F.col(f"__p{i}") == F.col(f"__c{i}")
+        on &= (F.col(_q(xyz[i])) >= F.col(_q(lo[i]))) & (F.col(_q(xyz[i])) <= F.col(_q(hi[i])))
+    return at.join(cells, on).select(*[F.col(_q(c)) for c in points.columns], *[F.col(_q(c)) for c in keep])
+
+
+def box_counts(points: DataFrame, boxes: DataFrame, key: Sequence[str], study: str, xyz: Sequence[str], lo: Sequence[str],
+               hi: Sequence[str], box_id: str) -> DataFrame:
+    """Per point (``key``, unique) the number of boxes of its study that hold it, the smallest ``box_id`` among them,
+    and the number that it misses.  A point without a box has zeros; a study without boxes too."""
+    inside = (points_in_boxes(points.select(*map(_q, key), _q(study), *map(_q, xyz)), boxes, study, xyz, lo, hi)
+              .groupBy(*map(_q, key)).agg(F.count(F.lit(1)).alias("n_inside"), F.min(_q(box_id)).alias("first_box")))
+    total = boxes.filter(F.col(_q(study)).isNotNull()).groupBy(_q(study)).agg(F.count(F.lit(1)).alias("__boxes"))
+    out = join_null_safe(join_null_safe(points, inside, key, "left"), total, [study], "left")
+    n = F.coalesce("n_inside", F.lit(0).cast("bigint"))
+    return out.select(*map(_q, key), n.alias("n_inside"), "first_box", (F.coalesce("__boxes", F.lit(0).cast("bigint")) - n).alias("n_missed"))
+
+
 def lookup_or(df: DataFrame, table: DataFrame, keys: Sequence[str], value: str,
               fallback_keys: dict | None = None, default=None, alias: str | None = None) -> DataFrame:
     """Dictionary look-up with fallback.

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -26,8 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import WORD
-from ..session import ensure_checkpoint_dir
+from ..functions.text import WORD, clean_query, clean_second
+from ..session import materialised
 from .schema import _q
 
 # ---------------------------------------------------------------- F15 column functions
@@ -151,89 +152,111 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
             .groupBy("id", "tok").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
 
-def tfidf_weights(corpus: DataFrame, key: str, text: str, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """M1 fit: (document weights ``id, tok, w`` L2-normalised per document, ``tok, idf``).
+class Fitted(NamedTuple):
+    """M1 fit of a corpus: token counts ``id, tok, tf``, ``tok, df, idf``, and each document's weight norm ``id, norm``."""
 
-    tf = count of the token in the document; idf = ln((1 + N) / (1 + df)) + 1.  With
-    ``materialize`` the term counts (tokenising is the costly step, and idf, the norms and
-    the weights all read them) and the final weights are written once to the session's
-    shared checkpoint folder; otherwise the same plan is left lazy."""
-    tf = term_counts(corpus, key, text)
-    if materialize:
-        ensure_checkpoint_dir(corpus.sparkSession)
-        tf = tf.checkpoint(eager=True)
+    tf: DataFrame
+    idf: DataFrame
+    norm: DataFrame
+
+
+def tfidf_fit(corpus: DataFrame, key: str, text: str) -> Fitted:
+    """M1 fit: tf = count of the token in the document; idf = ln((1 + N) / (1 + df)) + 1; norm = the length of tf * idf.
+
+    The three tables are written once to the session's shared checkpoint folder, as tokenising is the costly step and
+    all later steps read them; weights are not written, the lists of the tokens that queries hold are made from them."""
+    tf = materialised(term_counts(corpus, key, text), "term-counts")
     n_docs = corpus.select(F.count(F.lit(1))).scalar()  # scalar subquery, computed once
-    idf = (tf.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-           .select("tok", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf")))
-    docs = _normalised(tf, idf)
-    if materialize:
-        docs = docs.checkpoint(eager=True)
-    return docs, idf
+    idf = materialised(tf.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+                       .select("tok", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
+    return Fitted(tf, idf, materialised(_norms(tf, idf), "norms"))
+
 
+def _norms(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    w = F.col("tf") * F.col("idf")
+    return tf.join(idf, "tok").groupBy("id").agg(F.sqrt(F.sum(w * w)).alias("norm"))
 
-def _normalised(tf: DataFrame, idf: DataFrame) -> DataFrame:
-    w = tf.join(idf, "tok").select("id", "tok", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, "id").select("id", "tok", (F.col("w") / F.col("norm")).alias("w"))
+
+def _weights(tf: DataFrame, idf: DataFrame, norm: DataFrame) -> DataFrame:
+    """The columns of both tables and ``w``, L2-normalised per document."""
+    return tf.join(idf, "tok").join(norm, "id").withColumn("w", F.col("tf") * F.col("idf") / F.col("norm"))
 
 
 def tfidf_query_weights(queries: DataFrame, key: str, text: str, idf: DataFrame) -> DataFrame:
-    """M1 transform: query weights over the corpus vocabulary (unknown tokens ignored)."""
-    return _normalised(term_counts(queries, key, text), idf)
-
-
-def _sparse_scores(qpdf: pd.DataFrame, cpdf: pd.DataFrame, k: int, q_chunk: int = 64) -> pd.DataFrame:
-    """Sparse dot products inside one block: token merge per small query chunk, so the
-    intermediate pair table stays bounded; local top-k per query."""
-    parts = []
-    cidx = cpdf[["id", "tok", "w"]]
-    q_ids = qpdf["id"].unique()
-    for s in range(0, len(q_ids), q_chunk):
-        sub = qpdf[qpdf["id"].isin(q_ids[s:s + q_chunk])]
-        m = sub.merge(cidx, on="tok", suffixes=("_q", "_c"))
-        if m.empty:
-            continue
-        m["p"] = m["w_q"] * m["w_c"]
-        sc = m.groupby(["id_q", "id_c"], sort=False)["p"].sum().reset_index()
-        sc["r"] = sc["p"].round(6)
-        sc = sc.sort_values(["id_q", "r", "id_c"], ascending=[True, False, True]).groupby("id_q").head(k)
-        parts.append(pd.DataFrame({"q_id": sc["id_q"].astype("int64"), "c_id": sc["id_c"].astype("int64"),
-                                   "score": sc["r"].astype("float64")}))
-    if not parts:
-        return _local_top_k(np.array([]), np.array([]), np.zeros((0, 0)), k)
-    return pd.concat(parts, ignore_index=True)
+    """M1 transform: query weights ``id, tok, w`` over the corpus vocabulary (unknown tokens ignored)."""
+    tf = term_counts(queries, key, text)
+    return _weights(tf, idf, _norms(tf, idf)).select("id", "tok", "w")
 
 
 def text_top_k(queries: DataFrame, corpus: DataFrame, k: int, q_key: str, q_text: str, c_key: str,
-               c_text: str, q_block_rows: int = 256, c_block_rows: int = 200_000,
-               fitted: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """M1: TF-IDF cosine top-k (re-aimed from the neural encoder).  A query that shares no
-    token with the corpus returns no row.  Block sizes count (document, token) rows; only
-    corpus tokens that some query holds reach the blocks.  ``fitted`` takes the weights of an
-    earlier :func:`tfidf_weights` over the same corpus."""
-    docs, idf = fitted or tfidf_weights(corpus, c_key, c_text)
-    ensure_checkpoint_dir(queries.sparkSession)
-    qw = tfidf_query_weights(queries, q_key, q_text, idf).checkpoint(eager=True)
-    docs = docs.join(qw.select("tok").distinct(), "tok", "left_semi").select("id", "tok", "w")
-    return block_top_k(qw, docs, k, _sparse_scores, q_block_rows=q_block_rows, c_block_rows=c_block_rows)
+               c_text: str, fitted: Fitted | None = None, seed_rows: int = 4096,
+               list_rows: int = 1 << 20) -> DataFrame:
+    """M1: TF-IDF cosine top-k (re-aimed from the neural encoder) -> ``q_id, rank, c_id, score``.  A query that shares no
+    token with the corpus returns no row.  ``fitted`` takes the weights of an earlier :func:`tfidf_fit` over the same
+    corpus.
+
+    Posting lists of the query tokens, in joins and sums.  A query's rarest lists (about ``seed_rows`` rows) give partial
+    scores, the k-th of which is a floor that the k-th full score cannot lie below.  A token adds at most its query weight
+    times its list's greatest weight; the tokens whose such bounds together stay below the floor cannot lift a document to
+    it alone, so their lists, the longest, are not read for candidates.  The other lists propose, a candidate that could
+    not reach the floor even with all that is left is dropped, and the rest get their missing weights by (document,
+    token).  Nothing is lost; scores are rounded to 6 decimals and ties go to the smaller id.  A list of more than
+    ``list_rows`` documents is dealt over several keys by document."""
+    fit = fitted or tfidf_fit(corpus, c_key, c_text)
+    qw = materialised(tfidf_query_weights(queries, q_key, q_text, fit.idf), "query-weights")
+    used = (fit.idf.join(qw.select("tok").distinct(), "tok", "left_semi")
+            .withColumn("n", F.ceil(F.col("df") / list_rows).cast("int")))
+    lists = materialised(_weights(fit.tf, used, fit.norm).select(
+        "id", "tok", "w", F.pmod(F.xxhash64("id"), "n").cast("int").alias("part")), "lists")
+    top = lists.groupBy("tok").agg(F.max("w").alias("most"))
+    rare = Window.partitionBy("q_id").orderBy("df", "tok").rowsBetween(Window.unboundedPreceding, -1)
+    q = qw.select(F.col("id").alias("q_id"), "tok", F.col("w").alias("qw")).join(used, "tok").join(top, "tok")
+    q = materialised(q.select("q_id", "tok", "qw", "n", (F.col("qw") * F.col("most")).alias("bound"),
+                              F.coalesce(F.sum("df").over(rare), F.lit(0)).alias("before")), "query-tokens")
+
+    def partial(some: DataFrame) -> DataFrame:
+        some = some.select("q_id", "tok", "qw", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"))
+        return (some.join(lists, ["tok", "part"]).groupBy("q_id", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("s")))
+
+    def floor(scores: DataFrame) -> DataFrame:
+        best = Window.partitionBy("q_id").orderBy(F.desc("s"))
+        return (scores.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k)
+                .groupBy("q_id").agg((F.when(F.count(F.lit(1)) == k, F.min("s")).otherwise(0.0) - 2e-6).alias("floor")))
+
+    low = floor(partial(q.filter(F.col("before") < seed_rows)))
+    weak = Window.partitionBy("q_id").orderBy("bound", "tok")
+    tokens_ = q.join(low, "q_id").withColumn("common", F.sum("bound").over(weak) < F.col("floor"))
+    tokens_ = materialised(tokens_.select("q_id", "tok", "qw", "n", "bound", "floor", "common"), "token-kinds")
+    strong = tokens_.filter("not common")
+    spare = tokens_.groupBy("q_id").agg(F.max("floor").alias("floor"), F.coalesce(F.sum(F.when(F.col("common"), F.col("bound"))), F.lit(0.0)).alias("spare"))
+    found = materialised(partial(strong), "candidates")
+    spare = spare.join(floor(found).withColumnRenamed("floor", "floor2"), "q_id").select("q_id", F.greatest("floor", "floor2").alias("floor"), "spare")
+    found = found.join(spare, "q_id").filter(F.col("s") + F.col("spare") >= F.col("floor")).select("q_id", "id", "s")
+    rest = (found.join(tokens_.filter("common").select("q_id", "tok", "qw"), "q_id").join(lists, ["id", "tok"])
+            .groupBy("q_id", "id").agg(F.sum(F.col("qw") * F.col("w")).alias("more")))
+    full = found.join(rest, ["q_id", "id"], "left").select(
+        "q_id", F.col("id").alias("c_id"), F.round(F.col("s") + F.coalesce("more", F.lit(0.0)), 6).alias("score"))
+    w = Window.partitionBy("q_id").orderBy(F.desc("score"), F.asc("c_id"))
+    return (full.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select("q_id", "rank", "c_id", "score"))
 
 
 def two_stage(queries: DataFrame, corpus: DataFrame, q_key: str, q_text: str, c_key: str, c_text: str,
               k1: int = 100, k2: int = 25, feedback: int = 1) -> DataFrame:
-    """M2: stage 1 top-``k1`` by the query text; the query is enriched with the texts of
-    its best ``feedback`` stage-1 hits (in rank order); stage 2 top-``k2`` by the enriched
-    text.  (The reference enriches with a language model's reply built from the stage-1
-    list; the model is not built, the hit texts take its place.)"""
-    fitted = tfidf_weights(corpus, c_key, c_text)  # once for both stages
-    s1 = text_top_k(queries, corpus, k1, q_key, q_text, c_key, c_text, fitted=fitted)
+    """M2: stage 1 top-``k1`` by the query text, cleaned by the query profile (F3); stage 2 top-``k2`` by the texts of its
+    best ``feedback`` stage-1 hits (in rank order), an empty line and the query text cleaned by the second profile (F5).
+    The corpus texts are taken as they are, and fitted once.  (The reference enriches with a language model's reply
+    built from the stage-1 list; the model is not built, the hit texts take its place.)"""
+    fitted = tfidf_fit(corpus, c_key, c_text)  # once for both stages
+    asked = queries.select(F.col(_q(q_key)).cast("bigint").alias("__id"), clean_query(F.col(_q(q_text))).alias("__first"),
+                           clean_second(F.col(_q(q_text))).alias("__second"))
+    s1 = text_top_k(asked, corpus, k1, "__id", "__first", c_key, c_text, fitted=fitted)
     hits = (s1.filter(F.col("rank") <= feedback)
             .join(corpus.select(F.col(_q(c_key)).cast("bigint").alias("c_id"), F.col(_q(c_text)).alias("__t")), "c_id")
             .groupBy(F.col("q_id").alias("__id"))
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "__t"))),
                                           lambda s: s["__t"]), " ").alias("__fb")))
-    enriched = (queries.select(F.col(_q(q_key)).cast("bigint").alias("__id"), F.col(_q(q_text)).alias("__qt"))
-                .join(hits, "__id", "left")
-                .select("__id", F.concat_ws(" ", "__qt", "__fb").alias("__text")))
+    enriched = asked.join(hits, "__id", "left").select("__id", F.concat_ws("\n\n", "__fb", "__second").alias("__text"))
     return text_top_k(enriched, corpus, k2, "__id", "__text", c_key, c_text, fitted=fitted)
 
 

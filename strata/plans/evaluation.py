@@ -170,13 +170,34 @@ def auc_null_group(spark, sf):
     return rounded(M.auc_by(d, "y", "s", ["g"]))
 
 
-@query("gbt_folds", "M16 M9 P11")
+@query("gbt_folds", "M16 M9 P11", sql="""
+SELECT doc_id, CAST(ntile(3) OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) AS INTEGER) AS fold,
+  true AS is_probability, true AS own_model, true AS kept_trees FROM documents JOIN labels USING (doc_id)""")
 def gbt_folds(spark, sf):
-    """Per-fold GBT on document features (label = quality): every row scored by the model of its fold."""
+    """Per-fold GBT on document features (label = quality) with early stopping on the held-out fold.  Invariants, as GBT
+    numbers are no one else's: every row is scored once, with a probability, by the model that was not trained on its
+    fold (folds are 1 to 3), and that model kept 1 to 10 trees."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     feats = d.select("doc_id", F.col("quality").alias("label"), F.col("n_chars").cast("double").alias("chars_A"),
                      F.length("text").cast("double").alias("len_A"), F.col("lang").alias("lang_M"),
                      F.col("source").alias("source_M"))
-    folded = SP.kfold(feats, "doc_id", 3, seed=42)
-    models = ML.fit_folds(folded, ["chars_A", "len_A"], ["lang_M", "source_M"], "label", "fold", max_iter=10)
-    return ML.score_folds(models, folded, "doc_id", fold="fold")
+    folded = SP.kfold(feats, "doc_id", 3, seed=42).withColumn("fold", F.col("fold") + 1)
+    models = ML.fit_folds(folded, ["chars_A", "len_A"], ["lang_M", "source_M"], "label", "fold", max_iter=10, early_stop=True)
+    scored = ML.score_folds(models, folded, "doc_id", fold="fold")
+    kept = F.coalesce(*[F.when(F.col("fold") == m.fold, F.lit(1 <= m.trees <= 10)) for m in models])
+    return scored.select("doc_id", "fold", F.col("score").between(0, 1).alias("is_probability"),
+                         F.col("fold").isin([m.fold for m in models]).alias("own_model"), kept.alias("kept_trees"))
+
+
+@query("target_stats", "M16 P11", sql="""
+WITH d AS (SELECT doc_id, lang, source, CAST(quality AS DOUBLE) AS y, md5('42:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents JOIN labels USING (doc_id)), p AS (SELECT avg(y) AS prior FROM d)
+SELECT doc_id, round((coalesce(sum(y) OVER l, 0) + prior) / (count(*) OVER l + 1), 9) AS lang_ts,
+  round((coalesce(sum(y) OVER s, 0) + prior) / (count(*) OVER s + 1), 9) AS source_ts FROM d, p
+WINDOW l AS (PARTITION BY lang ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  s AS (PARTITION BY source ORDER BY h, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def target_stats(spark, sf):
+    """Ordered target statistics of language and source, for boosters that take levels as numbers."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source").join(table(spark, sf, "labels"), "doc_id")
+    out = ML.ordered_target_stats(d, ["lang", "source"], "quality", "doc_id", seed=42)
+    return rounded(out.select("doc_id", "lang_ts", "source_ts"), 9)

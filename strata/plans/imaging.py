@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..operators import aggregate as A
 from ..operators import geometry as GO
+from ..operators import joins as J
 from ..operators import reshape as R
 from ..operators import windows as W
 from ..session import ensure_checkpoint_dir
@@ -163,6 +164,30 @@ def match_points_q(spark, sf):
     return out.select("series_id", "instance_number", "frame_series", "stack", "inside", "vx", "vy", "vz", "n")
 
 
+@query("inside_boxes", "J8", sql="""
+WITH p AS (SELECT o_orderkey, o_orderstatus AS study, CAST(o_orderkey % 50 AS DOUBLE) AS x, CAST(o_custkey % 11 AS DOUBLE) AS y,
+  o_totalprice / 4000 AS z FROM orders),
+b AS (SELECT p_partkey, substr('FOP', CAST(1 + p_partkey % 3 AS INTEGER), 1) AS study, p_size - (p_partkey % 5) * 0.25 AS x0,
+  p_size + (p_partkey % 5) * 0.25 AS x1, p_partkey % 11 - 0.5 AS y0, p_partkey % 11 + 0.5 AS y1,
+  p_retailprice / 20 - (1 + p_partkey % 7) AS z0, p_retailprice / 20 + (1 + p_partkey % 7) AS z1 FROM part),
+n AS (SELECT study, count(*) AS boxes FROM b GROUP BY study)
+SELECT o_orderkey, count(p_partkey) AS n_inside, min(p_partkey) AS first_box, coalesce(any_value(boxes), 0) - count(p_partkey) AS n_missed
+FROM p LEFT JOIN b ON b.study = p.study AND x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1 AND z BETWEEN z0 AND z1
+LEFT JOIN n ON n.study = p.study GROUP BY o_orderkey""")
+def inside_boxes(spark, sf):
+    """Orders as points of three large studies, parts as boxes of many sizes."""
+    p = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("study"),
+                                          (F.col("o_orderkey") % 50).cast("double").alias("x"),
+                                          (F.col("o_custkey") % 11).cast("double").alias("y"), (F.col("o_totalprice") / 4000).alias("z"))
+    key, half = F.col("p_partkey"), (F.col("p_partkey") % 5) * 0.25
+    deep = 1 + key % 7
+    b = table(spark, sf, "part").select(
+        "p_partkey", F.substring(F.lit("FOP"), (1 + key % 3).cast("int"), F.lit(1)).alias("study"),
+        (F.col("p_size") - half).alias("x0"), (F.col("p_size") + half).alias("x1"), (key % 11 - 0.5).alias("y0"), (key % 11 + 0.5).alias("y1"),
+        (F.col("p_retailprice") / 20 - deep).alias("z0"), (F.col("p_retailprice") / 20 + deep).alias("z1"))
+    return J.box_counts(p, b, ["o_orderkey"], "study", ["x", "y", "z"], ["x0", "y0", "z0"], ["x1", "y1", "z1"], "p_partkey")
+
+
 @query("slice_corners", "F22", sql=f"""WITH {_SLICES_SQL}
 SELECT series_id, instance_number, list_transform(c, lambda p: list_transform(p, lambda v: round(v, 6))) AS corners FROM
  (SELECT series_id, instance_number, [position,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as M
 from ..operators import retrieval as R
 from .catalog import query, rounded, table
+from .text_q import BLANKS, CLEAN_QUERY, CLEAN_SECOND
 
 WORD = r"[\p{L}\p{N}_]"
 K_VEC = 25
@@ -78,12 +79,14 @@ def text_top_k(spark, sf):
                         "item_id", "text", "doc_id", "text")
 
 
-_ENRICHED = """SELECT b.item_id AS id, concat_ws(' ', b.text, h.fb) AS text FROM benchmark b LEFT JOIN
+_FIRST = f"SELECT item_id AS id, {CLEAN_QUERY.format('text', BLANKS)} AS text FROM benchmark"
+_ENRICHED = f"""SELECT b.item_id AS id, concat_ws(chr(10) || chr(10), h.fb, {CLEAN_SECOND.format('b.text', BLANKS)}) AS text
+ FROM benchmark b LEFT JOIN
  (SELECT t.q_id, string_agg(d.text, ' ' ORDER BY t.rank) AS fb FROM s1top t JOIN documents d ON d.doc_id = t.c_id
   WHERE t.rank <= 1 GROUP BY t.q_id) h ON h.q_id = b.item_id"""
 
 
-@query("two_stage", "M2 F9", sql="WITH " + _tfidf_sql("SELECT item_id AS id, text FROM benchmark", 100, "s1")
+@query("two_stage", "M2 F3 F5 F9", sql="WITH " + _tfidf_sql(_FIRST, 100, "s1")
        + "," + _tfidf_sql(_ENRICHED, 25, "s2") + " SELECT * FROM s2top")
 def two_stage(spark, sf):
     return R.two_stage(table(spark, sf, "benchmark"), table(spark, sf, "documents"), "item_id", "text",

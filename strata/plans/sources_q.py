@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..sources import io
+from ..sources.store import KeyedStore
 from .catalog import query, rounded, table
 
 
@@ -97,6 +98,54 @@ def cache_round_trip(spark, sf):
     return io.cached(spark, lambda: (_ for _ in ()).throw(RuntimeError("cache miss")), path)
 
 
+def _half_then_all(spark, sf):
+    """A store of order totals per customer: half of the customers asked for, one file damaged, then all asked for.
+    Returns (store, all keys, keys finished before the damage, keys finished after it, keys the last call computed)."""
+    path = _scratch(spark, "store")
+    orders = table(spark, sf, "orders")
+    keys = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    store = KeyedStore(spark, path, ["o_custkey"])
+    asked = []
+
+    def compute(absent):
+        asked.append(absent)
+        return (orders.join(absent, "o_custkey").groupBy("o_custkey")
+                .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 4).alias("total")))
+
+    store.get(keys.filter("o_custkey % 2 = 0"), compute)
+    before = store.finished().checkpoint(eager=True)
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    victim = hpath(io.list_files(spark, f"{path}/data/run=*/*.parquet")[0])
+    out = victim.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(victim, True)
+    out.writeBytes("no parquet file any more")
+    out.close()
+    after = store.finished().checkpoint(eager=True)
+    rows = store.get(keys, compute)
+    return rows, keys, before, after, asked
+
+
+@query("store_rows", "S7", sql="""
+SELECT o_custkey, count(*) AS n_orders, round(sum(o_totalprice), 4) AS total FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY o_custkey""")
+def store_rows(spark, sf):
+    """Every customer's row is right although half were stored before and one stored file was damaged."""
+    return _half_then_all(spark, sf)[0]
+
+
+@query("store_rebuilds", "S7", sql="""
+SELECT count(*) AS keys, count(*) FILTER (c_custkey % 2 = 0) AS stored, true AS some_damaged, true AS only_needed, 2 AS calls
+FROM customer""")
+def store_rebuilds(spark, sf):
+    """The second call computed the absent and the damaged keys and no other."""
+    _, keys, before, after, asked = _half_then_all(spark, sf)
+    lost = before.join(after, "o_custkey", "left_anti").select("o_custkey")
+    needed = lost.unionByName(keys.filter("o_custkey % 2 = 1")).distinct()
+    differ = needed.exceptAll(asked[1]).unionByName(asked[1].exceptAll(needed))
+    return keys.agg(F.count(F.lit(1)).alias("keys")).select(
+        "keys", before.select(F.count(F.lit(1))).scalar().alias("stored"), (lost.select(F.count(F.lit(1))).scalar() > 0).alias("some_damaged"),
+        (differ.select(F.count(F.lit(1))).scalar() == 0).alias("only_needed"), F.lit(len(asked)).alias("calls"))
+
+
 # -------------------------------------------------------------- S8: array columns
 
 @query("list_round_trip", "S8 A13", sql="""

@@ -67,22 +67,27 @@ def paths(spark, sf):
 
 # ---------------------------------------------------------------- F3 F4 F5 (whole texts)
 
-def _clean_sql(rules, lower: bool) -> str:
-    x = "lower(text)" if lower else "text"
-    return STRIP.format(x=_rules_sql(x, rules))
+# the three profiles written out, apart from the library's own rules
+CLEAN_QUERY = r"""trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(regexp_replace(regexp_replace(lower({0}),
+  '@[\p{{L}}\p{{N}}_]+', '', 'g'), 'http[\p{{L}}\p{{N}}_]+', '', 'g'), '\(', ' '), '\)', ' '), ' +', ' ', 'g'), '[.]+', '.', 'g'), ',+', ',', 'g'), {1})"""
+CLEAN_PROMPT = r"""trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(regexp_replace({0},
+  'http[\p{{L}}\p{{N}}_]+', '', 'g'), '[.]+', '.', 'g'), ',+', ',', 'g'), '\(', ' '), '\)', ' '), ' +', ' ', 'g'), {1})"""
+CLEAN_SECOND = r"""trim(regexp_replace(regexp_replace(replace(replace(regexp_replace(regexp_replace(lower({0}),
+  '@[\p{{L}}\p{{N}}_]+', '', 'g'), 'http[\p{{L}}\p{{N}}_]+', '', 'g'), '\(', ' '), '\)', ' '), ' +', ' ', 'g'), '[.]+', '.', 'g'), {1})"""
+BLANKS = " || ".join(f"chr({c})" for c in (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
 
 
-@query("clean_query", "F3 X2 X3", sql=f"SELECT doc_id, {_clean_sql(X.QUERY_RULES, True)} AS cleaned FROM documents")
+@query("clean_query", "F3 X2 X3", sql=f"SELECT doc_id, {CLEAN_QUERY.format('text', BLANKS)} AS cleaned FROM documents")
 def clean_query(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.clean_query("text").alias("cleaned"))
 
 
-@query("clean_prompt", "F4", sql=f"SELECT doc_id, {_clean_sql(X.PROMPT_RULES, False)} AS cleaned FROM documents")
+@query("clean_prompt", "F4", sql=f"SELECT doc_id, {CLEAN_PROMPT.format('text', BLANKS)} AS cleaned FROM documents")
 def clean_prompt(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.clean_prompt("text").alias("cleaned"))
 
 
-@query("clean_second", "F5", sql=f"SELECT doc_id, {_clean_sql(X.SECOND_RULES, True)} AS cleaned FROM documents")
+@query("clean_second", "F5", sql=f"SELECT doc_id, {CLEAN_SECOND.format('text', BLANKS)} AS cleaned FROM documents")
 def clean_second(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.clean_second("text").alias("cleaned"))
 

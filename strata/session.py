@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +57,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set(CHECKPOINT_CONF, current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def materialised(df, what: str = "table"):
+    """``df`` written as Parquet to a fresh folder below the session's shared checkpoint folder, and read back: cuts the
+    lineage like a checkpoint, in columns."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -71,7 +71,7 @@ def read_chunks(spark: SparkSession, pattern: str | Iterable[str], typed: bool =
 def schema_groups(spark: SparkSession, paths: list[str], batch: int = 64) -> list[tuple[str, list[str]]]:
     """(schema as JSON, files) for every distinct schema, by order of the first file.
 
-    Footers are read on the executors, ``batch`` files per task; only the schemas come back.  A file whose
+    Footers are read on the executors, ``batch`` files per task; one row per distinct schema comes back.  A file whose
     footer names no Spark schema, or that lies in a store which only Spark opens, is asked through Spark."""
     import pyarrow as pa
 
@@ -96,11 +96,18 @@ def schema_groups(spark: SparkSession, paths: list[str], batch: int = 64) -> lis
                                   names=["path", "schema"])
 
     listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths) // batch))
-    found = dict(listed.mapInArrow(read, "path string, schema string").collect())
+    # folded on the executors: the schema text comes back once per distinct schema, with its files
+    found = (listed.mapInArrow(read, "path string, schema string").groupBy("schema")
+             .agg(F.array_sort(F.collect_list("path")).alias("files")).collect())
     groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(found[p] or spark.read.parquet(p).schema.json(), []).append(p)
-    return list(groups.items())
+    for own, files in found:
+        if own:
+            groups.setdefault(own, []).extend(files)
+        else:
+            for p in files:
+                groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    place = {p: i for i, p in enumerate(paths)}
+    return sorted(((own, sorted(files, key=place.get)) for own, files in groups.items()), key=lambda g: place[g[1][0]])
 
 
 # Numeric widening order (a column seen with two of these types takes the
