@@ -45,7 +45,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of ten benchmark words occurs."""
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10, keep=REST)
+    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), window=10, keep=REST,
+                                        item_form="none")
     return found.filter(F.size("spans") == 0).select(*COLUMNS)
 
 

@@ -7,8 +7,10 @@ filed under its rarest word.  A document word that is filed proposes a place: it
 the document (positional and length bounds), then the window's other words are compared from rare to frequent, and
 what is left is verified byte by byte.
 
-The windows are taken in blocks of at most ``block_windows``; only one block (a proven size) is sent to the executors
-at a time, and every document is matched against every block.
+The windows are taken in blocks of at most ``block_windows``; only the ids and words of one block are sent to the
+executors at a time, and every document is matched against every block.  Items stay in a table: a document keeps the ids
+of the windows it holds, each distinct set of ids meets the (window, item) table once, and the documents take the items
+of their set.  So a window that a third of the items share is one id in the tasks and on the driver.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from ._text import Hasher, lower_bytes, rebuilt, spans, utf8, words
 
 
 def item_windows(items: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``win`` (words joined by a space), ``items`` (sorted distinct ids as strings): one row per distinct window."""
+    """``item`` (id as string), ``win`` (words joined by a space): one row per item and distinct window of it."""
     text = F.translate(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                        "abcdefghijklmnopqrstuvwxyz")
     x = items.select(F.col(f"`{id_col}`").cast("string").alias("item"),
@@ -31,8 +33,7 @@ def item_windows(items: DataFrame, window: int, id_col: str = "item_id", text_co
     x = x.filter(F.col("item").isNotNull() & (F.size("w") > 0))
     last = F.greatest(F.size("w") - window, F.lit(0))
     x = x.select("item", "w", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-    x = x.select("item", F.array_join(F.slice("w", F.col("at") + 1, F.lit(window)), " ").alias("win"))
-    return x.groupBy("win").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return x.select("item", F.array_join(F.slice("w", F.col("at") + 1, F.lit(window)), " ").alias("win")).distinct()
 
 
 def _word_hash(texts: list[bytes]) -> list[np.ndarray]:
@@ -47,9 +48,9 @@ def _word_hash(texts: list[bytes]) -> list[np.ndarray]:
 class Windows:
     """A block of windows filed under their rarest word."""
 
-    def __init__(self, rows: list[tuple[str, list[str]]], counts: dict[int, int]):
-        self.text = [w.encode() for w, _ in rows]
-        self.items = [i for _, i in rows]
+    def __init__(self, rows: list[tuple[int, str]], counts: dict[int, int]):
+        self.ids = [i for i, _ in rows]
+        self.text = [w.encode() for _, w in rows]
         hashes = _word_hash(self.text)
         self.size = np.array([len(h) for h in hashes], np.int64)
         width = int(self.size.max(initial=0))
@@ -65,25 +66,27 @@ class Windows:
         self.first = np.append(self.first, len(by))
         self.filed = by
 
-    def candidates(self, h: np.ndarray):
-        """(word position, window) pairs proposed by filed words, without those that run over the array's ends."""
+    def candidates(self, h: np.ndarray, room: int = 1 << 20):
+        """Pieces of (start word, window) pairs proposed by filed words: at most ``room`` pairs and one word's windows
+        a piece, however many windows lie under a frequent word."""
         if not len(self.keys) or not len(h):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return
         k = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         at = np.flatnonzero(self.keys[k] == h)
-        n = self.first[k[at] + 1] - self.first[k[at]]
-        pos = np.repeat(at, n)
-        skip = np.arange(len(pos)) - np.repeat(np.cumsum(n) - n, n)
-        win = self.filed[np.repeat(self.first[k[at]], n) + skip]
-        return pos - self.order[win, 0], win
-
-    def match(self, h, first, doc_of):
+        low, n = self.first[k[at]], self.first[k[at] + 1] - self.first[k[at]]
+        piece = (np.cumsum(n) - n) // room
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(at)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            m = n[a:b]
+            skip = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+            win = self.filed[np.repeat(low[a:b], m) + skip]
+            yield np.repeat(at[a:b], m) - self.order[win, 0], win
+
+    def match(self, h, first, doc_of, room: int = 1 << 20):
         """(start word, window) of all windows whose word hashes occur inside one document."""
-        out = []
-        for a in range(0, len(h) if len(self.keys) else 0, 1 << 18):  # pairs stay bounded
-            start, win = self.candidates(h[a:a + (1 << 18)])
-            start = start + a
-            doc = doc_of[np.clip(start + self.order[win, 0], 0, max(len(h) - 1, 0))]
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for start, win in self.candidates(h, room):
+            doc = doc_of[start + self.order[win, 0]]
             ok = (start >= first[doc]) & (start + self.size[win] <= first[doc + 1])
             start, win = start[ok], win[ok]
             for j in range(1, self.words.shape[1]):
@@ -94,8 +97,7 @@ class Windows:
                 ok = ~live | (h[np.where(live, start + place, 0)] == self.words[win, place])
                 start, win = start[ok], win[ok]
             out.append((start, win))
-        return (np.concatenate([s for s, _ in out]) if out else np.zeros(0, np.int64),
-                np.concatenate([w for _, w in out]) if out else np.zeros(0, np.int64))
+        return np.concatenate([s for s, _ in out]), np.concatenate([w for _, w in out])
 
 
 def corpus_counts(docs: DataFrame, vocab: np.ndarray) -> DataFrame:
@@ -118,27 +120,35 @@ def corpus_counts(docs: DataFrame, vocab: np.ndarray) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", block_windows: int = 100_000,
-                  keep: list[str] | None = None) -> DataFrame:
-    """Every document with ``n_words``, ``spans`` (the maximal hit word ranges [start, end)) and ``items`` (sorted ids of
-    items with occurring windows, as strings); ``keep`` names further columns to carry.
+                  keep: list[str] | None = None, item_form: str = "list") -> DataFrame:
+    """Every document with ``n_words`` and ``spans`` (the maximal hit word ranges [start, end)); ``keep`` names further
+    columns to carry.  ``item_form`` says how the items with occurring windows are given: ``list`` as ``items`` (sorted
+    ids, as strings), ``digest`` as ``n_items`` and ``items_sha256`` (of the sorted ids joined by commas; made once per
+    distinct set of windows, so no list travels with the documents), ``none`` not at all.
 
     Words are the runs of 0-9, a-z (A-Z lower-cased) and non-ASCII characters.  Null and empty texts have no words.
     Items without words match nothing, rows without an item id are left out, repeated items count once.  Repeated
-    documents stay as rows of their own.  Empty items leave every document clean."""
+    documents stay as rows of their own.  Empty items leave every document clean.  Other columns of ``docs`` and
+    ``items`` may have any name; one in ``keep`` that is also a name of the result raises ValueError."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     keep = keep or []
+    given = {"list": ["items"], "digest": ["n_items", "items_sha256"], "none": []}[item_form]
+    names = [id_col, *keep, "n_words", "spans", *given]
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"columns to keep clash with the result: {names}")
     x = docs.select(F.col(f"`{id_col}`").alias("d"), F.col(f"`{text_col}`").alias("t"),
                     *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
-    wins = item_windows(items, window, item_id, item_text).checkpoint(eager=True)
+    pairs = item_windows(items, window, item_id, item_text).checkpoint(eager=True)
+    wins = pairs.select("win").distinct().withColumn("wid", F.monotonically_increasing_id()).checkpoint(eager=True)
     blocks = max(1, -(-wins.count() // block_windows))
     x = x.select("d", "t", *[f"k{i}" for i in range(len(keep))], F.lit(0).cast("bigint").alias("n_words"),
-                 F.lit(None).cast("array<bigint>").alias("s"), F.lit(None).cast("array<string>").alias("items"))
+                 F.lit(None).cast("array<bigint>").alias("s"), F.lit(None).cast("array<bigint>").alias("w"))
     for b in range(blocks):
         # one block of windows: at most about block_windows short rows, by hash
-        rows = [(r["win"], list(r["items"])) for r in
+        rows = [(r["wid"], r["win"]) for r in
                 wins.filter(F.pmod(F.xxhash64("win"), F.lit(blocks)) == b).orderBy("win").collect()]
-        vocab = np.unique(np.concatenate(_word_hash([w.encode() for w, _ in rows]) or [np.zeros(0, np.uint64)]))
+        vocab = np.unique(np.concatenate(_word_hash([w.encode() for _, w in rows]) or [np.zeros(0, np.uint64)]))
         counts = {}
         if len(vocab):
             counts = {r["h"] & ((1 << 64) - 1): r["n"] for r in corpus_counts(x, vocab).collect()}
@@ -147,10 +157,31 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
         x = x.mapInArrow(_matcher(held, more), x.schema if more else x.drop("t").schema)
         if more:
             x = x.checkpoint(eager=True)
-    pairs = F.transform(F.filter("s", lambda v, i: i % 2 == 0), lambda v, i: F.struct(
+    if given:
+        x = _with_items(x, wins, pairs, item_form)
+    ranges = F.transform(F.filter("s", lambda v, i: i % 2 == 0), lambda v, i: F.struct(
         v.alias("start"), F.get("s", 2 * i + 1).alias("end")))
     return x.select(F.col("d").alias(id_col), *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_words",
-                    pairs.alias("spans"), "items")
+                    ranges.alias("spans"), *given)
+
+
+def _with_items(x: DataFrame, wins: DataFrame, pairs: DataFrame, item_form: str) -> DataFrame:
+    """``x`` with the items of its window ids ``w``: looked up once per distinct set of ids."""
+    x = x.checkpoint(eager=True)
+    of = pairs.join(wins, "win").select("wid", "item")
+    sets = x.filter(F.size("w") > 0).select("w").distinct()
+    found = (sets.select("w", F.explode("w").alias("wid")).join(of, "wid").select("w", "item").distinct()
+             .groupBy("w").agg(F.array_sort(F.collect_list("item")).alias("items")))
+    if item_form == "digest":
+        found = found.select("w", F.size("items").cast("bigint").alias("n_items"),
+                             F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
+        blank = {"n_items": F.lit(0).cast("bigint"), "items_sha256": F.sha2(F.lit(""), 256)}
+    else:
+        blank = {"items": F.array().cast("array<string>")}
+    # ids are not negative: a document without hits gets a key that no set has, spread over the tasks
+    key = F.when(F.size("w") > 0, F.col("w")).otherwise(F.array(-1 - F.pmod(F.xxhash64("d"), F.lit(1 << 16))))
+    out = x.withColumn("w", key).join(found, "w", "left")
+    return out.withColumns({n: F.coalesce(n, v) for n, v in blank.items()})
 
 
 def _matcher(held, with_text: bool):
@@ -158,9 +189,9 @@ def _matcher(held, with_text: bool):
         wins, hasher = rebuilt(Windows, held.value), Hasher()
         for batch in batches:
             data, off = utf8(batch.column(1))
-            n_words, found, names = [], [], []
+            n_words, found, held_ids = [], [], []
             old_s = batch.column(batch.schema.get_field_index("s")).to_pylist()
-            old_i = batch.column(batch.schema.get_field_index("items")).to_pylist()
+            old_w = batch.column(batch.schema.get_field_index("w")).to_pylist()
             for i, j in spans(off):
                 part = data[off[i]:off[j]]
                 s, e, h, first = words(part, off[i:j + 1] - off[i], hasher)
@@ -175,17 +206,17 @@ def _matcher(held, with_text: bool):
                     if text == wins.text[w]:
                         d = int(doc_of[a])
                         hits[d].add((a - int(first[d]), a - int(first[d]) + size))
-                        of[d].update(wins.items[w])
+                        of[d].add(wins.ids[w])
                 for d in range(j - i):
                     flat = old_s[i + d] or []
                     hits[d].update(zip(flat[::2], flat[1::2]))
-                    of[d].update(old_i[i + d] or [])
+                    of[d].update(old_w[i + d] or [])
                     found.append([x for span in merge(hits[d]) for x in span])
-                    names.append(sorted(of[d]))
+                    held_ids.append(sorted(of[d]))
                 n_words += np.diff(first).tolist()
             cols = {f.name: c for f, c in zip(batch.schema, batch.columns)}
             cols |= {"n_words": pa.array(n_words, pa.int64()), "s": pa.array(found, pa.list_(pa.int64())),
-                     "items": pa.array(names, pa.list_(pa.string()))}
+                     "w": pa.array(held_ids, pa.list_(pa.int64()))}
             if not with_text:
                 del cols["t"]
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
@@ -204,7 +235,10 @@ def merge(ranges) -> list[tuple[int, int]]:
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The per-document counts of :func:`decontaminate`."""
+    """The per-document counts of :func:`decontaminate`, from either form of its items."""
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
-    return found.select(id_col, "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    if "items" in found.columns:
+        found = found.withColumns({"n_items": F.size("items").cast("bigint"),
+                                   "items_sha256": F.sha2(F.array_join("items", ","), 256)})
+    return found.select(id_col, "n_words", n_hit.alias("n_hit"), "n_items", "items_sha256",
+                        (n_hit > 0).alias("contaminated"))

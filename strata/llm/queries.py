@@ -97,7 +97,8 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"),
-                                                            table(spark, sf_dir, "benchmark"), window=10))
+                                                            table(spark, sf_dir, "benchmark"), window=10,
+                                                            item_form="digest"))
 
 
 @query("op8_toxicity_gru")

@@ -99,6 +99,48 @@ def test_decontamination_of_empty_tables(spark):
     assert len(hit) == 3 and all(r["n_hit"] == 3 for r in hit)  # repeated rows and null ids stay
 
 
+@pytest.mark.parametrize("form", ["list", "digest"])
+def test_window_that_many_items_share(spark, form):
+    """One boilerplate window in every item, two sets of windows in the documents, a hundred clean documents."""
+    notice = "all rights reserved by the named owner"
+    items = [(i, f"own{i} {notice}") for i in range(400)]
+    docs = [(i, f"x{i} {notice} y") for i in range(50)] + [(50, f"a own7 {notice}"), (51, None)]
+    docs += [(100 + i, f"clean {i}") for i in range(100)]
+    found = decontaminate.decontaminate(
+        spark.createDataFrame(docs, "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"), window=7, item_form=form)
+    got = {g["doc_id"]: tuple(g)[1:] for g in decontaminate.digest(found).collect()}
+    assert got == brute_hits(docs, items, 7)
+    assert got[0][2] == 400 and got[50][1] == 8 and got[100][2] == 0
+
+
+def test_proposed_places_come_in_bounded_pieces():
+    """A word under which many windows lie, in a text that holds little else."""
+    wins = decontaminate.Windows([(i, f"the w{i}") for i in range(30)], {})
+    by_word = decontaminate._word_hash([b"the"])[0][0]
+    wins.order[:] = [0, 1]  # file all of them under the common word
+    wins.keys, wins.first, wins.filed = np.array([by_word], np.uint64), np.array([0, 30]), np.arange(30)
+    text = [b"the the w3 the w29 the", b"the", b"w3 the w0"]
+    h = decontaminate._word_hash(text)
+    first = np.cumsum([0] + [len(x) for x in h])
+    doc_of = np.repeat(np.arange(3), np.diff(first))
+    pieces = [len(s) for s, _ in wins.candidates(np.concatenate(h), room=40)]
+    assert sum(pieces) == 30 * 6 and len(pieces) > 2 and max(pieces) <= 70
+    for room in (1, 40, 1 << 20):
+        start, win = wins.match(np.concatenate(h), first, doc_of, room)
+        assert sorted(zip(start.tolist(), win.tolist())) == [(1, 3), (3, 29), (8, 0)]
+
+
+def test_decontamination_keeps_named_columns(spark):
+    docs = spark.createDataFrame([(1, "a b c", "k")], "doc_id bigint, text string, w string")
+    items = spark.createDataFrame([(1, "b c")], "item_id bigint, text string")
+    row = decontaminate.decontaminate(docs, items, keep=["w", "text"], item_form="none").collect()[0]
+    assert row.asDict(recursive=True) == {"doc_id": 1, "w": "k", "text": "a b c", "n_words": 3,
+                                          "spans": [{"start": 1, "end": 3}]}
+    with pytest.raises(ValueError, match="clash"):
+        decontaminate.decontaminate(docs.withColumn("spans", F.lit(1)), items, keep=["spans"])
+
+
 # ---- suffix arrays ---------------------------------------------------------------------------------------------
 
 def brute_repeats(rows, size):
