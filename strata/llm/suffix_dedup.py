@@ -7,18 +7,22 @@ documents.
 Only places that can matter are sorted.  Every ``size``-byte window has an anchor: the leftmost of its ``GRAM``-byte
 grams with the smallest hash.  Equal windows have equal anchors, and about one position in 39 is an anchor.
 
-1. Anchors, with a digest of the bytes a window around them can reach (their context), meet by gram hash.  An anchor
-   whose whole context occurred before has its context removed; grams with several different contexts are taken on.
-   Map tasks combine equal contexts first, so a passage that a third of all documents share sends one anchor per
-   task and gram.
-2. The contexts of those grams' first occurrences are cut from the texts and meet again by gram.  Their suffixes from
+1. Every anchor stands for up to two halves: its windows that begin at most 38 bytes before it, which all hold the 62
+   bytes from the anchor on, and those that begin earlier, which all hold the 63 bytes around it.  Halves meet by the
+   hash of these bytes (their key), so a phrase that is shorter than that never gathers its occurrences in one place,
+   however many documents hold it.  A half carries a digest of the bytes its windows can reach (its context).  One
+   whose whole context occurred before has that context removed, on the equality of two 64-bit hashes; keys with
+   several different contexts are taken on.  Map tasks combine equal contexts first, so a passage that a third of all
+   documents share sends one half per task and key.
+2. The contexts of those keys' first occurrences are cut from the texts and meet again by key.  Their suffixes from
    the anchor on, and the reversed prefixes before it, are sorted: multikey quicksort over 8-byte characters to a
    shallow depth, blind tries for the groups that still share their prefix.  The two suffix arrays with their common
    prefix lengths give each window an exact identity (class of its part before, class of its part behind the anchor);
    all but the earliest window of an identity are removed.
 3. The spans meet their documents.
 
-Texts travel only for documents that step 1 or 2 named (a bounded bitmap keeps most others out of the shuffle).
+Texts travel only for documents that step 1 or 2 named (a bounded bitmap keeps most others out of the shuffle).  The
+number of buckets, of anchors as of documents, follows the bytes of the input; a long text is hashed in pieces.
 """
 
 from __future__ import annotations
@@ -31,14 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ._text import Hasher, mix64, spans, utf8
+from ._text import PIECE, Hasher, mix64, spans, utf8
 from .links import filtered, key_bitmap
 from .tokens import scratch
 
 SIZE, GRAM, SHALLOW = 100, 24, 32
-FLUSH = 400_000  # anchors that a map task holds before it sends them
+FLUSH = 400_000  # halves that a map task holds before it sends them
+BUCKET = 64 << 20  # text bytes a bucket
 DOC = np.dtype([("doc_id", "<i8"), ("th", "<i8"), ("db", "<i4")])
-ANCHOR = [("gram", "<u8"), ("ctx", "<u8"), ("doc", "<u4"), ("pos", "<u4"), ("l", "u1"), ("r", "u1"), ("lo", "u1"),
+ANCHOR = [("key", "<u8"), ("ctx", "<u8"), ("doc", "<u4"), ("pos", "<u4"), ("l", "u1"), ("r", "u1"), ("lo", "u1"),
           ("hi", "u1")]
 NULL_ID = -(1 << 63)
 
@@ -54,35 +59,68 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[:len(x) - w + 1], m[w - have:]) if w > have else m
 
 
-def anchors(data: np.ndarray, off: np.ndarray, hasher: Hasher, size: int = SIZE, gram: int = GRAM) -> dict:
-    """Anchor columns of a batch of documents: see ``ANCHOR``; ``lo`` .. ``hi`` are the offsets of the anchor in the
-    windows it is the anchor of."""
-    n, reach = len(data), size - gram
-    none = {k: np.zeros(0, t) for k, t in ANCHOR}
-    if n < size:
-        return none
-    c = hasher.prefix(data)
-    at = np.arange(n - gram + 1)
-    g = mix64(hasher.span(c, at, at + gram))
-    key = (g >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
-    best = (sliding_min(key, reach + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)  # anchor of the window at each place
-    start = np.arange(len(best))
-    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[:len(best)]
-    inside = start + size <= off[doc + 1]
-    start, best, doc = start[inside], best[inside], doc[inside]
-    if not len(start):
-        return none
-    new = np.ones(len(best), bool)
-    new[1:] = best[1:] != best[:-1]
+def sides(size: int = SIZE, gram: int = GRAM) -> list[tuple[range, int, int]]:
+    """Per half of an anchor: its offsets in the windows, and the bytes before and from the anchor that these reach."""
+    reach = size - gram
+    half = reach // 2
+    return [(range(half + 1), half, size), (range(half + 1, reach + 1), reach, size - half - 1)]
+
+
+def _window_anchors(data: np.ndarray, off: np.ndarray, hasher: Hasher, size: int, gram: int, piece: int):
+    """Place of every anchor with the first and last start of the windows it is the anchor of; windows that cross
+    documents are left out.  The bytes are taken in pieces that overlap by one window."""
+    found = []
+    for a in range(0, max(len(data) - size + 1, 0), piece):
+        part = data[a:a + piece + size - 1]
+        c = hasher.prefix(part)
+        at = np.arange(len(part) - gram + 1)
+        g = mix64(hasher.span(c, at, at + gram))
+        key = (g >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
+        best = (sliding_min(key, size - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64) + a
+        start = np.arange(a, a + len(best))
+        end = np.repeat(off[1:], np.diff(np.clip(off, a, a + len(best))))  # of the document that the window starts in
+        inside = start + size <= end
+        start, best = start[inside], best[inside]
+        if len(start):
+            first = np.flatnonzero(np.append(True, best[1:] != best[:-1]))
+            found.append((best[first], start[first], start[np.append(first[1:], len(best)) - 1]))
+    if not found:
+        return np.zeros((3, 0), np.int64)
+    p, s, e = (np.concatenate(x) for x in zip(*found))
+    new = np.append(True, p[1:] != p[:-1])  # an anchor may serve windows of two pieces
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(best)) - 1
-    p, d = best[first], doc[first]
-    left = np.minimum(p - off[d], reach)
-    right = np.minimum(off[d + 1] - p, size)
-    ctx = mix64(hasher.span(c, p - left, p + right) + (left * 1000 + right).astype(np.uint64))
-    return {"gram": g[p], "ctx": ctx, "doc": d.astype("<u4"), "pos": (p - off[d]).astype("<u4"),
-            "l": left.astype("u1"), "r": right.astype("u1"), "lo": (p - start[last]).astype("u1"),
-            "hi": (p - start[first]).astype("u1")}
+    return p[first], s[first], e[np.append(first[1:], len(p)) - 1]
+
+
+def anchors(data: np.ndarray, off: np.ndarray, hasher: Hasher, size: int = SIZE, gram: int = GRAM,
+            piece: int = PIECE) -> dict:
+    """Halves of the anchors of a batch of documents, see ``ANCHOR``; ``lo`` .. ``hi`` are the offsets of the anchor in
+    the windows of the half, ``l`` and ``r`` the bytes of its context before and from the anchor."""
+    p, s, e = _window_anchors(data, off, hasher, size, gram, piece)
+    doc = np.searchsorted(off, p, side="right") - 1
+    key, ctx = np.zeros((2, len(p)), np.uint64), np.zeros((2, len(p)), np.uint64)
+    lo, hi, left, right = np.zeros((4, 2, len(p)), np.int64)
+    for i, (offsets, before, behind) in enumerate(sides(size, gram)):
+        lo[i], hi[i] = np.maximum(p - e, offsets[0]), np.minimum(p - s, offsets[-1])
+        left[i], right[i] = np.minimum(p - off[doc], before), np.minimum(off[doc + 1] - p, behind)
+    live = lo <= hi
+    for a in range(0, len(data), piece):  # hashes again by pieces, wide enough for every context
+        x, y = np.searchsorted(p, [a, a + piece])
+        if x == y:
+            continue
+        base = max(a - size, 0)
+        c = hasher.prefix(data[base:a + piece + size])
+        for i, (offsets, _, _) in enumerate(sides(size, gram)):
+            at = np.arange(x, y)[live[i, x:y]]
+            q = p[at] - base
+            l, r = left[i, at], right[i, at]
+            core = hasher.span(c, q - offsets[0], q + (size - offsets[-1]))
+            key[i, at] = mix64(core + np.uint64(i))
+            ctx[i, at] = mix64(hasher.span(c, q - l, q + r) + (l * 1000 + r).astype(np.uint64))
+    i, at = np.nonzero(live)
+    return {"key": key[i, at], "ctx": ctx[i, at], "doc": doc[at].astype("<u4"), "pos": (p - off[doc])[at].astype("<u4"),
+            "l": left[i, at].astype("u1"), "r": right[i, at].astype("u1"), "lo": lo[i, at].astype("u1"),
+            "hi": hi[i, at].astype("u1")}
 
 
 def pack(cols: dict, kinds: list) -> bytes:
@@ -126,7 +164,7 @@ def doc_order(docs: np.ndarray) -> np.ndarray:
 
 
 SPAN = [("doc", "<u4"), ("start", "<u4"), ("end", "<u4")]
-PLACE = [("gram", "<u8"), ("doc", "<u4"), ("pos", "<u4"), ("l", "u1"), ("r", "u1"), ("lo", "u1"), ("hi", "u1")]
+PLACE = [("key", "<u8"), ("doc", "<u4"), ("pos", "<u4"), ("l", "u1"), ("r", "u1"), ("lo", "u1"), ("hi", "u1")]
 
 
 def _pick(cols: dict, at, kinds) -> dict:
@@ -145,7 +183,7 @@ def _with_docs(cols: dict, docs: np.ndarray, kinds: list, number: np.ndarray, bu
 
 
 def _anchor_rows(docs: DataFrame, buckets: int, size: int, gram: int) -> DataFrame:
-    """Step 1, map side: anchors by gram bucket (kind 0) and spans already certain inside the task (kind 1)."""
+    """Step 1, map side: halves by key bucket (kind 0) and spans already certain inside the task (kind 1)."""
     def run(batches):
         hasher = Hasher()
         held, tables, n_docs, n = [], [], 0, 0
@@ -154,12 +192,12 @@ def _anchor_rows(docs: DataFrame, buckets: int, size: int, gram: int) -> DataFra
             cols = {k: np.concatenate([h[k] for h in held]) for k, _ in ANCHOR}
             table = np.concatenate(tables)
             rank = doc_order(table)[cols["doc"]]
-            by, head = first_of(cols["gram"], cols["ctx"], order=(rank, cols["pos"]))
+            by, head = first_of(cols["key"], cols["ctx"], order=(rank, cols["pos"]))
             first = head == np.arange(len(by))
             again = by[~first & ((rank[by] != rank[by[head]]) | (cols["pos"][by] != cols["pos"][by[head]]))]
             heads = by[first]
             rows = [(b, 0, t, p) for b, t, p in _with_docs(
-                _pick(cols, heads, ANCHOR), table, ANCHOR, (cols["gram"][heads] % np.uint64(buckets)).astype(np.int64),
+                _pick(cols, heads, ANCHOR), table, ANCHOR, (cols["key"][heads] % np.uint64(buckets)).astype(np.int64),
                 buckets)]
             sp = {"doc": cols["doc"][again], "start": cols["pos"][again] - cols["l"][again],
                   "end": cols["pos"][again] + cols["r"][again]}
@@ -205,13 +243,13 @@ def _meet(rows: DataFrame, buckets: int) -> DataFrame:
             base = np.cumsum([0] + [len(p) for p in parts])[:-1]
             cols["doc"] = cols["doc"].astype(np.int64) + base[block]
             rank = doc_order(docs)[cols["doc"]]
-            by, head = first_of(cols["gram"], cols["ctx"], order=(rank, cols["pos"]))
+            by, head = first_of(cols["key"], cols["ctx"], order=(rank, cols["pos"]))
             first = head == np.arange(len(by))
             again = by[~first & ((rank[by] != rank[by[head]]) | (cols["pos"][by] != cols["pos"][by[head]]))]
             pos = cols["pos"].astype(np.int64)
             sp = {"doc": cols["doc"][again], "start": pos[again] - cols["l"][again], "end": pos[again] + cols["r"][again]}
             heads = by[first]
-            g = cols["gram"][heads]  # sorted
+            g = cols["key"][heads]  # sorted
             same = np.zeros(len(g) + 1, bool)
             same[1:-1] = g[1:] == g[:-1]
             heads = heads[same[1:] | same[:-1]]
@@ -338,26 +376,27 @@ def depth_classes(rows: np.ndarray, depths) -> np.ndarray:
     s = rows[order]
     differ = s[1:] != s[:-1]
     lcp = np.where(differ.any(1), differ.argmax(1), rows.shape[1]) if len(s) > 1 else np.zeros(0, np.int64)
-    out = np.zeros((len(depths), len(rows)), np.int64)
+    out = np.zeros((len(depths), len(rows)), np.int32)
     for i, d in enumerate(depths):
         out[i, order[1:]] = np.cumsum(lcp < d)
     return out
 
 
-def repeated_offsets(ctx: np.ndarray, lo, hi, when, size: int = SIZE, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+def repeated_offsets(ctx: np.ndarray, lo, hi, when, side: int, size: int = SIZE,
+                     gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest offset at which a context's window occurs in an earlier one (largest -1: nowhere).
 
-    ``ctx``: rows of ``size - gram`` bytes before and ``size`` bytes from the anchor; ``lo`` .. ``hi``: the offsets of
-    the windows to judge; ``when``: order of the contexts."""
-    reach = size - gram
-    behind = depth_classes(ctx[:, reach:], [size - o for o in range(reach + 1)])
-    before = depth_classes(ctx[:, :reach][:, ::-1], range(reach + 1))
+    ``ctx``: the bytes before and from the anchor that the ``side`` reaches (:func:`sides`), zero where the document
+    ends; ``lo`` .. ``hi``: the offsets of the windows to judge; ``when``: order of the contexts."""
+    offsets, reach, _ = sides(size, gram)[side]
+    behind = depth_classes(ctx[:, reach:], [size - o for o in offsets])
+    before = depth_classes(ctx[:, :reach][:, ::-1], offsets)
     least, most = np.full(len(ctx), size), np.full(len(ctx), -1)
-    for o in range(reach + 1):
+    for i, o in enumerate(offsets):
         at = np.flatnonzero((lo <= o) & (o <= hi))
         if len(at) < 2:
             continue
-        key = behind[o, at] * len(ctx) + before[o, at]
+        key = behind[i, at].astype(np.int64) * len(ctx) + before[i, at]
         by, head = first_of(key, order=(when[at],))
         dup = at[by[when[at[by]] != when[at[by[head]]]]]
         least[dup] = np.minimum(least[dup], o)
@@ -373,38 +412,40 @@ def _doc_index(table: pa.Table) -> dict:
 
 
 def _contexts(docs: DataFrame, places: DataFrame, buckets: int, size: int, gram: int) -> DataFrame:
-    """Step 2, map side: the wanted contexts, cut from their texts, by gram bucket."""
-    reach = size - gram
+    """Step 2, map side: the wanted contexts, cut from their texts, by side and key bucket."""
+    halves = sides(size, gram)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
         if left.num_rows and right.num_rows:
             index = _doc_index(right)
             data, off = utf8(right.column("t"))
-            padded = np.concatenate([np.zeros(reach, np.uint8), data, np.zeros(size, np.uint8)])
+            padded = np.concatenate([np.zeros(size, np.uint8), data, np.zeros(size, np.uint8)])
             for tab, blob in zip(left.column("docs").to_pylist(), left.column("data").to_pylist()):
                 cols, _ = unpack([blob], PLACE)
                 table = np.frombuffer(tab, DOC)
                 where = np.array([index[(d, t)] for d, t in zip(table["doc_id"].tolist(), table["th"].tolist())])
-                for a in range(0, len(cols["pos"]), 50_000):
-                    part = {k: v[a:a + 50_000] for k, v in cols.items()}
-                    at = off[where[part["doc"]]] + part["pos"]
-                    ctx = padded[at[:, None] + np.arange(reach + size)]
-                    far = np.arange(-reach, size)
-                    ctx[(far < -part["l"].astype(int)[:, None]) | (far >= part["r"].astype(int)[:, None])] = 0
-                    part["i"] = np.arange(len(at), dtype="<u4")
-                    number = (part["gram"] % np.uint64(buckets)).astype(np.int64)
-                    kinds = PLACE + [("i", "<u4")]
-                    for b, t, p in _with_docs(part, table, kinds, number, buckets):
-                        mine = unpack([p], kinds)[0]["i"]
-                        rows.append((b, t, p, ctx[mine].tobytes()))
-        return pa.table([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary())
-                                                                     for i in (1, 2, 3))],
-                        names=["bucket", "docs", "data", "ctx"])
+                for side, (offsets, before, behind) in enumerate(halves):
+                    ours = np.flatnonzero((offsets[0] <= cols["lo"]) & (cols["lo"] <= offsets[-1]))
+                    far = np.arange(-before, behind)
+                    for a in range(0, len(ours), 50_000):
+                        part = {k: v[ours[a:a + 50_000]] for k, v in cols.items()}
+                        at = off[where[part["doc"]]] + part["pos"] + size
+                        ctx = padded[at[:, None] + far]
+                        ctx[(far < -part["l"].astype(int)[:, None]) | (far >= part["r"].astype(int)[:, None])] = 0
+                        part["i"] = np.arange(len(at), dtype="<u4")
+                        number = (part["key"] % np.uint64(buckets)).astype(np.int64)
+                        kinds = PLACE + [("i", "<u4")]
+                        for b, t, p in _with_docs(part, table, kinds, number, buckets):
+                            mine = unpack([p], kinds)[0]["i"]
+                            rows.append((b, side, t, p, ctx[mine].tobytes()))
+        return pa.table([*(pa.array([r[i] for r in rows], pa.int32()) for i in (0, 1)),
+                         *(pa.array([r[i] for r in rows], pa.binary()) for i in (2, 3, 4))],
+                        names=["bucket", "side", "docs", "data", "ctx"])
 
     left = places.select(F.col("db").alias("pdb"), "docs", "data")
     return left.groupBy("pdb").cogroup(docs.select("db", "doc_id", "th", "t").groupBy("db")).applyInArrow(
-        run, "bucket int, docs binary, data binary, ctx binary")
+        run, "bucket int, side int, docs binary, data binary, ctx binary")
 
 
 def _judge(contexts: DataFrame, buckets: int, size: int, gram: int) -> DataFrame:
@@ -412,23 +453,25 @@ def _judge(contexts: DataFrame, buckets: int, size: int, gram: int) -> DataFrame
     kinds = PLACE + [("i", "<u4")]
 
     def run(table: pa.Table) -> pa.Table:
+        side = table.column("side")[0].as_py()
+        _, before, behind = sides(size, gram)[side]
         cols, block = unpack(table.column("data").to_pylist(), kinds)
         parts = [np.frombuffer(t, DOC) for t in table.column("docs").to_pylist()]
         docs = np.concatenate(parts)
         cols["doc"] = cols["doc"].astype(np.int64) + np.cumsum([0] + [len(p) for p in parts])[:-1][block]
-        ctx = np.frombuffer(b"".join(table.column("ctx").to_pylist()), np.uint8).reshape(-1, 2 * size - gram)
+        ctx = np.frombuffer(b"".join(table.column("ctx").to_pylist()), np.uint8).reshape(-1, before + behind)
         rank = doc_order(docs)[cols["doc"]]
         by, head = first_of(rank, cols["pos"], order=())
         when = np.empty(len(by), np.int64)
         when[by] = head
-        least, most = repeated_offsets(ctx, cols["lo"].astype(int), cols["hi"].astype(int), when, size, gram)
+        least, most = repeated_offsets(ctx, cols["lo"].astype(int), cols["hi"].astype(int), when, side, size, gram)
         at = np.flatnonzero(most >= 0)
         pos = cols["pos"].astype(np.int64)
         sp = {"doc": cols["doc"][at], "start": pos[at] - most[at], "end": pos[at] + size - least[at]}
         return _spans_table([(1, t, p) for _, t, p in _with_docs(sp, docs, SPAN, docs["db"][sp["doc"]].astype(np.int64),
                                                                  buckets)])
 
-    return contexts.groupBy("bucket").applyInArrow(run, "db int, kind int, ths array<bigint>, docs binary, data binary")
+    return contexts.groupBy("bucket", "side").applyInArrow(run, "db int, kind int, ths array<bigint>, docs binary, data binary")
 
 
 def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -500,12 +543,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null texts are empty; texts below ``size`` bytes have no string to remove.  Documents are ordered by (doc_id, text
     hash), null ids first.  Rows with equal id and text count as the same document (each is returned with the same
-    result); equal texts under different ids are repeats.  An empty table gives no rows."""
+    result); equal texts under different ids are repeats.  An empty table gives no rows.  Extra columns of ``docs`` may have
+    any name; one in ``keep`` that is also a name of the result raises ValueError."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     keep = keep or []
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    taken = {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])}
+    names = [c for c in keep if c.lower() in taken]
+    if names or len({c.lower() for c in keep}) < len(keep):
+        raise ValueError(f"columns to keep clash with the result: {names or keep}")
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    n_bytes = docs.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // BUCKET))
     x = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("t"), F.xxhash64(text).alias("th"),
                     *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
     x = x.withColumn("db", F.pmod(F.xxhash64("doc_id", "th"), F.lit(buckets)).cast("int"))

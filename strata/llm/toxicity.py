@@ -294,8 +294,12 @@ def score_toxicity(docs: DataFrame, net: Network, folds: int = 5, fold: int = 0,
                    text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` and the ``keep`` columns for every document, over its whole text.
 
-    Null texts are empty and score as not toxic.  Repeated rows stay; an empty table gives no rows."""
+    Null texts are empty and score as not toxic.  Repeated rows stay; an empty table gives no rows.  Extra columns of
+    ``docs`` may have any name; one in ``keep`` that is also a name of the result raises ValueError."""
     keep = keep or []
+    names = [c for c in keep if c.lower() in ("doc_id", "held_out", "score", "predicted")]
+    if names:
+        raise ValueError(f"columns to keep clash with the result: {names}")
     held = docs.sparkSession.sparkContext.broadcast(vars(net))
 
     def run(batches):

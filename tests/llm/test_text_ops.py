@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -203,6 +204,52 @@ def test_repeats_on_ties_nulls_and_empty_tables(spark):
     assert kept == ""
 
 
+def test_anchors_do_not_depend_on_pieces():
+    texts = [t for _, t in repeat_texts(40, 5)] + ["", "é" * 400, "x" * 99]
+    data, off = utf8(pa.array(texts))
+    whole = suffix_dedup.anchors(data, off, Hasher(), piece=1 << 20)
+    for piece in (1, 64, 1000):
+        cut = suffix_dedup.anchors(data, off, Hasher(), piece=piece)
+        assert all((cut[k] == whole[k]).all() for k, _ in suffix_dedup.ANCHOR)
+    # every window is judged once: offsets of a half times its rows
+    windows = sum(max(len(t.encode()) - 99, 0) for t in texts)
+    assert (whole["hi"].astype(int) - whole["lo"] + 1).sum() == windows
+
+
+def test_anchors_of_a_long_text_in_bounded_memory():
+    data = np.random.default_rng(1).integers(97, 123, 30_000_000).astype(np.uint8)
+    tracemalloc.start()
+    got = suffix_dedup.anchors(data, np.array([0, len(data)]), Hasher())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got["pos"]) > len(data) // 40 and peak < 1_000_000_000
+
+
+def test_a_short_hot_phrase_spreads_over_keys():
+    r = random.Random(8)
+    phrase = "".join(r.choices("abcdefgh", k=50))
+    texts = ["".join(r.choices("abcdefgh", k=150)) + phrase + "".join(r.choices("abcdefgh", k=150)) for _ in range(400)]
+    data, off = utf8(pa.array(texts))
+    keys = suffix_dedup.anchors(data, off, Hasher())["key"]
+    assert np.unique(keys, return_counts=True)[1].max() == 1
+
+
+def test_long_texts_and_repeats_across_pieces(spark):
+    r = random.Random(12)
+    body = "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=1_500_000))
+    tail = "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=1_000_000))
+    df = spark.createDataFrame([(1, body), (2, tail + body[400_000:1_400_000])], "doc_id bigint, text string")
+    got = {x["doc_id"]: x for x in suffix_dedup.remove_repeats(df, with_text=True).collect()}
+    assert got[1]["kept"] == body
+    assert got[2]["kept"] == tail and got[2]["n_spans"] == 1 and got[2]["n_removed"] == 1_000_000
+
+
+def test_repeats_raise_on_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "x", 2)], "doc_id bigint, text string, n_bytes int")
+    with pytest.raises(ValueError, match="clash"):
+        suffix_dedup.remove_repeats(df, keep=["n_bytes"])
+
+
 def test_deep_shallow_order_and_trie():
     r = random.Random(4)
     rows = [bytes(r.choice(b"ab") for _ in range(20)) for _ in range(50)]
