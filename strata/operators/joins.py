@@ -7,13 +7,16 @@ broadcast by hint here.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .schema import _q, join_null_safe
 
+
 def left_join_suffixed(left: DataFrame, right: DataFrame, on: str | Sequence[str], suffix: str) -> DataFrame:
     """Left join keeping all left rows; right-side names that collide with a left
     name get ``suffix`` (like a ``_{i}`` join suffix), once more for as long as either side has the suffixed name."""
@@ -43,6 +46,23 @@ def join_all(base: DataFrame, tables: Iterable[DataFrame], on: str | Sequence[st
     return out
 
 
+def bucketed(df: DataFrame, on: str | Sequence[str], buckets: int | None = None, name: str = "bucketed") -> DataFrame:
+    """``df`` written once, bucketed by the join key, and read back as a table.
+
+    Rows are shuffled here for the last time: tables of the same key and number of ``buckets`` (default: the shuffle
+    partitions) are then joined and grouped by the key without an exchange, as often as wanted, so a child is written once
+    and serves every chain.  A bucket is one file.  The rows of one key share a bucket, so this is for keys with few rows
+    each, as the chain's tables have after aggregation.  The files lie in the shared checkpoint folder."""
+    spark = df.sparkSession
+    on = [on] if isinstance(on, str) else list(on)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+    (df.repartition(n, *[_q(c) for c in on]).write.format("parquet").bucketBy(n, *on).sortBy(*on).option("path", path)
+     .saveAsTable(table))
+    return spark.table(table)
+
+
 def assign_by_key(template: DataFrame, scores: DataFrame, key: str | Sequence[str],
                   cols: Sequence[str] | None = None) -> DataFrame:
     """Put ``scores`` columns on the template rows; missing keys stay null."""

@@ -108,6 +108,27 @@ def agg_max_min(spark, sf):
     return A.agg_by_suffix(child_view(spark, sf), "case_id")
 
 
+_PARTS_SQL = ("SELECT l_orderkey AS case_id, count(*) AS n_parts, max(l_tax) AS max_price_A FROM lineitem GROUP BY l_orderkey")
+
+
+@query("bucketed_chain", "J1", sql=f"""
+SELECT b.case_id, b.target, b.totalprice_A, c.max_price_A, c.min_price_A, c.max_ship_D, c.min_flag_M,
+  p.n_parts, p.max_price_A AS max_price_A_1
+FROM ({BASE_SQL}) b
+LEFT JOIN (SELECT case_id, max(price_A) AS max_price_A, min(price_A) AS min_price_A, max(ship_D) AS max_ship_D,
+  min(flag_M) AS min_flag_M FROM ({CHILD_SQL}) GROUP BY case_id) c USING (case_id)
+LEFT JOIN ({_PARTS_SQL}) p USING (case_id)""")
+def bucketed_chain(spark, sf):
+    """Base and two child aggregates written once by case_id, then chained without an exchange."""
+    base = base_view(spark, sf).select("case_id", "target", "totalprice_A")
+    child = A.agg_by_suffix(child_view(spark, sf), "case_id").select("case_id", "max_price_A", "min_price_A", "max_ship_D",
+                                                                     "min_flag_M")
+    parts = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("case_id")).agg(
+        F.count(F.lit(1)).alias("n_parts"), F.max("l_tax").alias("max_price_A"))
+    base, child, parts = (J.bucketed(t, "case_id", name=n) for t, n in ((base, "base"), (child, "child"), (parts, "parts")))
+    return J.join_all(base, [child, parts], on="case_id")
+
+
 @query("agg_full_spec", "A2 A3 A4 A5 X6", sql=suffix_agg_sql(CHILD_SQL, "case_id", CHILD_COLS, CHILD_ORDER,
                                                           round_mean=6)
        .replace("avg(date_diff('day', DATE '1970-01-01', ship_D))",

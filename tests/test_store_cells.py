@@ -210,3 +210,24 @@ def test_schemas_come_back_once_each(spark, place):
     groups = schema_groups(spark, [f"{place}/c_{i}.parquet" for i in range(6)])
     assert [[f[-9] for f in files] for _, files in groups] == [["0", "2", "4"], ["1", "3", "5"]]
     assert sorted(r["a"] for r in read_chunks(spark, [f"{place}/c_{i}.parquet" for i in range(6)], typed=False).collect()) == [0, 1, 2, 3, 4, 5]
+
+
+# ---- J1: bucketed chain ----------------------------------------------------------------------------------------
+
+def test_bucketed_chain_has_no_exchange(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    one = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    two = spark.createDataFrame([(2, 5)], "k int, n int")
+    tables = [J.bucketed(t, "k", 4) for t in (base, one, two)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = J.join_all(tables[0], tables[1:], on="k")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = {tuple(r) for r in out.collect()}
+        grouped = tables[0].groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and "Exchange" not in grouped
+    assert out.columns == ["k", "v", "v_0", "n"]
+    assert rows == {(1, "a", "x", None), (2, "b", None, 5), (None, "c", None, None)}
