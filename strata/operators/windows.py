@@ -4,8 +4,9 @@ Ids: W1-W6, O1, O3, O4, O5 and the shared :func:`rank_within`.
 
 ``row_number().over(Window.partitionBy(g).orderBy(o))`` sorts each whole group inside one
 task, and without ``partitionBy`` the whole table goes to a single task.  Both break when
-one group holds a large share of the rows, so ranks are computed with
-:func:`rank_within` instead:
+one group holds a large share of the rows.  :func:`rank_within` counts the groups first (map-side combined): rows of
+groups of at most ``HOT_ROWS`` rows are ranked by a window, whose tasks then stay small, and may use a partitioning that
+the rows already have; the rows of larger groups, and of a table ranked as one group, take this way:
 
 1. range-partition the rows on ``(group..., order..., tiebreak...)`` and sort inside each
    partition - a hot group is spread over many consecutive partitions;
@@ -17,8 +18,8 @@ one group holds a large share of the rows, so ranks are computed with
 
 Step 1-2 are materialised once with ``checkpoint()`` so both uses see the same rows.
 
-No group is ever gathered in one task and nothing is collected to the driver.  There is one path for all sizes; null
-group keys form a group of their own (the offsets are joined null-safe).
+No larger group is ever gathered in one task and nothing is collected to the driver.  Null group keys form a group of
+their own (the offsets are joined null-safe).
 :func:`running_sum_within` is the same scheme for running sums.
 """
 
@@ -34,6 +35,9 @@ from ..session import ensure_checkpoint_dir
 from .schema import _q, join_null_safe
 
 
+HOT_ROWS = 1 << 20  # a group up to this size is ranked within one task
+
+
 def _cols(x) -> list:
     if x is None:
         return []
@@ -53,8 +57,23 @@ class Desc:
         self.col = col
 
 
+def split_hot(df: DataFrame, by: Sequence, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` without the rows of the groups of more than ``hot_rows`` rows, and those rows (None if there are none)."""
+    names = [f"__h{i}" for i in range(len(by))]
+    sizes = df.select(*[_as_col(b).alias(n) for b, n in zip(by, names)]).groupBy(*names).agg(F.count(F.lit(1)).alias("__size"))
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = sizes.filter(F.col("__size") > hot_rows).select(*names).checkpoint()  # at most one row per hot_rows rows
+    if hot.isEmpty():
+        return df, None
+    same = None
+    for b, n in zip(by, names):
+        c = _as_col(b).eqNullSafe(F.col(n))
+        same = c if same is None else same & c
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+
+
 def rank_within(df: DataFrame, by=None, order=None, alias: str = "rank", count_alias: str | None = None,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """0-based row rank inside each ``by`` group in ``order`` (which must be a total
     order; add a unique column last).  Wrap an order item in :class:`Desc` for descending.
     Optionally adds the group size as ``count_alias``.  Rows with a null group key form one
@@ -62,6 +81,20 @@ def rank_within(df: DataFrame, by=None, order=None, alias: str = "rank", count_a
     by, order = _cols(by), _cols(order)
     if not order:
         raise ValueError("rank_within needs an order")
+    if not by:
+        return _rank_by_ranges(df, by, order, alias, count_alias, partitions)
+    small, hot = split_hot(df, by, hot_rows)
+    group = Window.partitionBy(*[_as_col(b) for b in by])
+    w = group.orderBy(*[_as_col(o.col).desc() if isinstance(o, Desc) else _as_col(o).asc() for o in order])
+    new = {alias: F.row_number().over(w).cast("bigint") - 1}
+    if count_alias:
+        new = {count_alias: F.count(F.lit(1)).over(group), **new}
+    out = small.withColumns(new)
+    return out if hot is None else out.unionByName(_rank_by_ranges(hot, by, order, alias, count_alias, partitions))
+
+
+def _rank_by_ranges(df: DataFrame, by: list, order: list, alias: str, count_alias: str | None, partitions: int | None) -> DataFrame:
+    """:func:`rank_within` by ranges of (group, order)."""
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tmp_by = [f"__g{i}" for i in range(len(by))]
     tmp_ord = [f"__o{i}" for i in range(len(order))]

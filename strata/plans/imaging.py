@@ -17,7 +17,7 @@ from ..operators import geometry as GO
 from ..operators import joins as J
 from ..operators import reshape as R
 from ..operators import windows as W
-from ..session import ensure_checkpoint_dir
+from ..session import materialised
 from .catalog import query, table
 
 AXIAL = "Axial T2"
@@ -58,12 +58,10 @@ def slices(spark, sf):
     ).withColumn("py", F.col("__pe") % 256).drop("__pe")
 
 
-def _materialised_slices(spark, sf):
-    """The slice table feeds the points, the group sizes of two ranks, the stack frames
-    and the slice look-up: written once to the shared checkpoint folder instead of
-    re-running its join and ranking for each of them."""
-    ensure_checkpoint_dir(spark)
-    return slices(spark, sf).checkpoint(eager=True)
+def _materialised_order(spark, sf):
+    """The ordered slice table gives the points, the stack frames and the slice look-up: written once to the shared
+    checkpoint folder instead of re-running its join and ranking for each of them."""
+    return materialised(GO.slice_order(slices(spark, sf)), "slices")
 
 
 _SLICES_SQL = """s0 AS (SELECT o.o_custkey AS study_id, l.l_orderkey AS series_id,
@@ -128,10 +126,9 @@ SELECT i.series_id, i.instance_number, i.stack, i.inside, CASE WHEN i.inside THE
   CASE WHEN i.inside THEN o.instance_number ELSE 0 END AS n
 FROM ins i LEFT JOIN ord o ON i.inside AND o.series_id = i.series_id AND o.stack = i.stack AND o.z = i.zz""")
 def world_voxel(spark, sf):
-    s = _materialised_slices(spark, sf)
-    ordered = GO.slice_order(s)
+    ordered = _materialised_order(spark, sf)
     frames = GO.stack_frames(ordered)
-    pts = s.select("study_id", "series_id", "instance_number",
+    pts = ordered.select("study_id", "series_id", "instance_number",
                    G.pixel_to_world("px", "py", "orientation", "spacing", "position").alias("world"))
     out = GO.backproject(pts, frames, ordered, "world")
     return out.select("series_id", "instance_number", "stack", "inside", "vx", "vy", "vz", "n")
@@ -155,10 +152,9 @@ FROM ins i LEFT JOIN ord o ON i.inside AND o.series_id = i.frame_series AND o.st
 def match_points_q(spark, sf):
     """J8 unconditional form: every label point projected to every volume (stack) of its
     study, not only those of its own series."""
-    s = _materialised_slices(spark, sf)
-    ordered = GO.slice_order(s)
+    ordered = _materialised_order(spark, sf)
     frames = GO.stack_frames(ordered)
-    pts = s.select("study_id", "series_id", "instance_number",
+    pts = ordered.select("study_id", "series_id", "instance_number",
                    G.pixel_to_world("px", "py", "orientation", "spacing", "position").alias("world"))
     out = GO.backproject(pts, frames, ordered, "world", same_series=False)
     return out.select("series_id", "instance_number", "frame_series", "stack", "inside", "vx", "vy", "vz", "n")
