@@ -15,6 +15,7 @@ from ..operators import columns as C
 from ..operators import encode as E
 from ..operators import joins as J
 from ..operators import schema as S
+from ..session import materialised
 from .catalog import query, rounded, table
 from .sqlgen import suffix_agg_sql
 
@@ -423,7 +424,7 @@ WHERE l.case_id % 4 = 0 AND l."column" <> 'target'"""
 @query("feature_build_train", "J1 A2 A4 P2 P3 P4", sql=_feature_build_sql("train"))
 def feature_build_train(spark, sf):
     """The training side of the whole build, pruned on its own rows; in long form."""
-    train = C.prune_columns(_built(spark, sf).filter(_is_train()))
+    train = C.prune_columns(materialised(_built(spark, sf).filter(_is_train()), "build"))  # null shares, levels and rows read it
     return _long(train, [c for c in train.columns if c != "case_id"])
 
 
@@ -431,7 +432,7 @@ def feature_build_train(spark, sf):
 def feature_build_score(spark, sf):
     """The scoring side: the columns that pruning kept on the training side (without the target), string values
     outside the training dictionary as Unknown, nulls as Missing; in long form."""
-    built = _built(spark, sf)
+    built = materialised(_built(spark, sf), "build")  # read by the pruning, the dictionary and the scoring side
     train = C.prune_columns(built.filter(_is_train()))
     strings = [f.name for f in train.schema.fields if isinstance(f.dataType, T.StringType)]
     score = S.align_to(built.filter(~_is_train()), train.columns, drop=("target",))
